@@ -11,6 +11,7 @@ Python side only sees the exceptions.
 from __future__ import annotations
 
 import ast
+import warnings
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,7 +49,9 @@ def _item_text(x) -> str | None:
 
 def _literal(v: str):
     try:
-        return ast.literal_eval(v)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore", SyntaxWarning)
+            return ast.literal_eval(v)
     except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
         return None
 

@@ -37,14 +37,33 @@ def append(df: DataFrame, path: str, partitions: int | None = None) -> None:
     out.write.mode("append").parquet(path)
 
 
-def append_staging(staged: DataFrame, base: str, partitions: int | None = None) -> None:
-    append(staged.select(*[f.name for f in STAGING_SCHEMA.fields]), staging_path(base), partitions)
+def append_staging(staged: DataFrame, base: str, batch: str | None = None, partitions: int | None = None) -> str:
+    """Add one load batch to staging; rewriting the same ``batch`` replaces only that batch.
+
+    Staging is partitioned by ``load_batch``, so a retried batch (same name) overwrites
+    its own folder and nothing else: appends are idempotent.
+    """
+    batch = batch or new_run_id()
+    out = staged.select(*[f.name for f in STAGING_SCHEMA.fields]).withColumn("load_batch", F.lit(batch))
+    if partitions:
+        out = out.repartition(partitions)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_batch").parquet(staging_path(base)))
+    return batch
+
+
+def staging_exists(spark: SparkSession, base: str) -> bool:
+    try:
+        spark.read.parquet(staging_path(base)).limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001 - no staging yet
+        return False
 
 
 def read_table(spark: SparkSession, base: str, name: str, run_id: str | None = None) -> DataFrame:
     """Read staging or a published table (S4); column pruning reaches the scan."""
     if name == "staging":
-        return spark.read.schema(STAGING_SCHEMA).parquet(staging_path(base))
+        return spark.read.parquet(staging_path(base)).select(*[f.name for f in STAGING_SCHEMA.fields])
     rid = run_id or current_run(spark, base)
     if rid is None:
         raise FileNotFoundError(f"no published run under {base}")
@@ -54,7 +73,8 @@ def read_table(spark: SparkSession, base: str, name: str, run_id: str | None = N
 def declare_tables(spark: SparkSession, base: str, run_id: str, reset_staging: bool = False) -> None:
     """Create every target (and optionally staging) empty, with its declared schema."""
     if reset_staging:
-        spark.createDataFrame([], STAGING_SCHEMA).write.mode("overwrite").parquet(staging_path(base))
+        empty = spark.createDataFrame([], STAGING_SCHEMA).withColumn("load_batch", F.lit("empty"))
+        empty.write.mode("overwrite").partitionBy("load_batch").parquet(staging_path(base))
     for name, schema in TARGET_SCHEMAS.items():
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(run_path(base, run_id, name))
 
