@@ -54,13 +54,15 @@ def fact_jobs(staging: DataFrame, companies: DataFrame, locations: DataFrame, pl
               schedules: DataFrame, unknown_member: bool = False, keep_staging_id: bool = False) -> DataFrame:
     """One row per titled staging row (more if a lookup key matches several members).
 
-    ``job_id`` is dense in staging ``id`` order. With ``unknown_member`` a company row
-    'Unknown' must exist in ``companies`` for NULL names to resolve; by default they stay
-    NULL and the NOT NULL check reports them.
+    ``job_id`` is dense in staging ``id`` order. Postings without a company member stay
+    NULL and the NOT NULL check reports them; with ``unknown_member`` NULL and blank names
+    resolve to an 'Unknown' member that is added when missing.
     """
+    s = with_lookup_keys(titled(staging))
     if unknown_member:
+        # NULL and blank names both resolve to the 'Unknown' member.
         companies = with_unknown_company(companies)
-    s = with_lookup_keys(titled(staging))
+        s = s.withColumn("_company_key", F.coalesce(F.nullif(F.col("_company_key"), F.lit("")), F.lit("Unknown")))
     j = lookup(s, companies, {"_company_key": "company_name"}, ["company_id"])
     j = lookup(j, locations, {"_country_key": "country", "_location_key": "full_location"}, ["location_id"])
     j = lookup(j, platforms, {"_platform_key": "platform_name"}, ["platform_id"])

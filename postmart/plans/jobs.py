@@ -51,14 +51,15 @@ def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "titl
               unknown_member: bool = False) -> dict[str, DataFrame]:
     """All eight target tables from staging, in dependency order."""
     companies = D.dim_companies(staging)
-    if unknown_member:
-        companies = FX.with_unknown_company(companies)
     locations = D.dim_locations(staging, unique=unique)
     platforms = D.dim_platforms(staging)
     schedules = D.dim_schedule_types(staging)
     categories = D.dim_skill_categories(staging)
     skills = D.dim_skills(staging, categories)
-    jobs = FX.fact_jobs(staging, companies, locations, platforms, schedules, keep_staging_id=True)
+    if unknown_member:
+        companies = FX.with_unknown_company(companies)
+    jobs = FX.fact_jobs(staging, companies, locations, platforms, schedules, unknown_member=unknown_member,
+                        keep_staging_id=True)
     bridge = B.bridge_job_skills(jobs, staging, skills, match=match)
     return {"companies": companies, "locations": locations, "platforms": platforms, "schedule_types": schedules,
             "skill_categories": categories, "skills": skills, "jobs": jobs, "job_skills": bridge}

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import REFRESH_ORDER, STAGING_SCHEMA, TARGET_SCHEMAS
 
@@ -52,9 +53,13 @@ def append_staging(staged: DataFrame, base: str, batch: str | None = None, parti
     return batch
 
 
+def _staging_files_schema() -> T.StructType:
+    return T.StructType(STAGING_SCHEMA.fields + [T.StructField("load_batch", T.StringType())])
+
+
 def staging_exists(spark: SparkSession, base: str) -> bool:
     try:
-        spark.read.parquet(staging_path(base)).limit(0).collect()
+        spark.read.schema(_staging_files_schema()).parquet(staging_path(base)).limit(0).collect()
         return True
     except Exception:  # noqa: BLE001 - no staging yet
         return False
@@ -63,7 +68,8 @@ def staging_exists(spark: SparkSession, base: str) -> bool:
 def read_table(spark: SparkSession, base: str, name: str, run_id: str | None = None) -> DataFrame:
     """Read staging or a published table (S4); column pruning reaches the scan."""
     if name == "staging":
-        return spark.read.parquet(staging_path(base)).select(*[f.name for f in STAGING_SCHEMA.fields])
+        return spark.read.schema(_staging_files_schema()).parquet(staging_path(base)) \
+            .select(*[f.name for f in STAGING_SCHEMA.fields])
     rid = run_id or current_run(spark, base)
     if rid is None:
         raise FileNotFoundError(f"no published run under {base}")

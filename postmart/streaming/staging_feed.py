@@ -23,7 +23,8 @@ from ..sources import tables as TB
 def _next_id(spark: SparkSession, base: str, batch: str) -> int:
     if not TB.staging_exists(spark, base):
         return 1
-    others = spark.read.parquet(TB.staging_path(base)).where(F.col("load_batch") != batch)
+    others = spark.read.schema(TB._staging_files_schema()).parquet(TB.staging_path(base)) \
+        .where(F.col("load_batch") != batch)
     row = others.agg(F.max("id").alias("m")).first()
     return (int(row["m"]) if row and row["m"] is not None else 0) + 1
 
