@@ -61,16 +61,19 @@ class Mart:
 
     # --- inputs -------------------------------------------------------------
     @cached_property
-    def raw(self) -> DataFrame:
-        return FIX.postings_raw(self.spark, self.sf_dir)
+    def base(self) -> str:
+        return fresh_dir(self.spark, "mart")
 
     @cached_property
-    def text(self) -> DataFrame:
-        return FIX.postings_text(self.spark, self.sf_dir)
+    def raw(self) -> DataFrame:
+        """Raw postings derived once from the test tables and kept as Parquet (the input file)."""
+        path = f"{self.base}/raw"
+        FIX.postings_raw(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
-    def base(self) -> str:
-        return fresh_dir(self.spark, "mart")
+    def text(self) -> DataFrame:
+        return FIX.to_text(self.raw)
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -293,15 +296,11 @@ def q_unique_values(spark, sf):
 
 
 def q_list_structure(spark, sf):
-    t = _m(spark, sf).text
-    parsed = t.select("id", "job_skills", P.parse_list("job_skills").alias("parsed"))
-    return Q.list_structure(parsed, "job_skills", "parsed")
+    return Q.list_structure(_m(spark, sf).text, "job_skills")
 
 
 def q_dict_structure(spark, sf):
-    t = _m(spark, sf).text
-    parsed = t.select("id", "job_type_skills", P.parse_dict("job_type_skills").alias("parsed"))
-    return Q.dict_structure(parsed, "job_type_skills", "parsed")
+    return Q.dict_structure(_m(spark, sf).text, "job_type_skills")
 
 
 def q_data_profile(spark, sf):

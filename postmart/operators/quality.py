@@ -206,26 +206,30 @@ def data_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 # ---------------------------------------------------------------------------
 
 
-def _head_flags(df: DataFrame, present: Column, id_col: str, head: int) -> DataFrame:
-    """Rank present cells by id and keep the first ``head``: a top-k, not a global sort."""
-    return df.where(present).orderBy(F.col(id_col).asc()).limit(head)
+def _head(df: DataFrame, present: Column, id_col: str, raw_col: str, head: int) -> DataFrame:
+    """First ``head`` present cells by id: a per-task top-k and one small merge, no global sort."""
+    return df.where(present).select(id_col, raw_col).orderBy(F.col(id_col).asc()).limit(head)
 
 
-def list_structure(df: DataFrame, raw_col: str, parsed_col: str, id_col: str = "id", head: int = 10,
-                   samples: int = 3, sample_items: int = 3) -> DataFrame:
+def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int = 10, samples: int = 3,
+                   sample_items: int = 3, parse=None) -> DataFrame:
     """List-column check: totals over all rows, valid / invalid over the first ``head`` cells.
 
     A cell is present when its raw text is not missing nor an empty-list token; it is
-    valid when it parsed into a list. ``parse_failures`` counts invalid cells over all rows.
+    valid when it parses into a list. ``parse_failures`` counts invalid cells over all
+    rows (one parse pass); the head is cut before its cells are parsed again.
     ``sample_values`` shows the first ``samples`` valid lists, each cut to ``sample_items``.
     """
+    from ..functions.parse import parse_list
+    parse = parse or parse_list
     present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_LIST_TOKENS)
-    valid = F.col(parsed_col).isNotNull()
-    totals = df.agg(F.count_if(present).cast("long").alias("total_non_null"),
-                    F.count_if(present & ~valid).cast("long").alias("parse_failures"))
-    first = _head_flags(df.select(id_col, raw_col, parsed_col), present, id_col, head)
+    totals = df.select(raw_col, parse(raw_col).alias("_p")).agg(
+        F.count_if(present).cast("long").alias("total_non_null"),
+        F.count_if(present & F.col("_p").isNull()).cast("long").alias("parse_failures"))
+    first = _head(df, present, id_col, raw_col, head).select(id_col, parse(raw_col).alias("_p"))
+    valid = F.col("_p").isNotNull()
     ordered = F.array_sort(F.collect_list(F.when(valid, F.struct(F.col(id_col).alias("i"),
-                                                                 F.slice(parsed_col, 1, sample_items).alias("v")))))
+                                                                 F.slice("_p", 1, sample_items).alias("v")))))
     heads = first.agg(F.count_if(valid).cast("long").alias("valid_lists"),
                       F.count_if(~valid).cast("long").alias("invalid"),
                       F.slice(ordered, 1, samples).alias("_s"))
@@ -233,14 +237,17 @@ def list_structure(df: DataFrame, raw_col: str, parsed_col: str, id_col: str = "
     return _one_row_pair(totals, heads.select("valid_lists", "invalid", text.alias("sample_values")))
 
 
-def dict_structure(df: DataFrame, raw_col: str, parsed_col: str, id_col: str = "id", head: int = 100) -> DataFrame:
+def dict_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int = 100, parse=None) -> DataFrame:
     """Dict-column check: as ``list_structure``; keys of the first ``head`` valid dicts, sorted."""
+    from ..functions.parse import parse_dict
+    parse = parse or parse_dict
     present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_DICT_TOKENS)
-    valid = F.col(parsed_col).isNotNull()
-    totals = df.agg(F.count_if(present).cast("long").alias("total_non_null"),
-                    F.count_if(present & ~valid).cast("long").alias("parse_failures"))
-    first = _head_flags(df.select(id_col, raw_col, parsed_col), present, id_col, head)
-    keys = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(valid, F.map_keys(parsed_col))))))
+    totals = df.select(raw_col, parse(raw_col).alias("_p")).agg(
+        F.count_if(present).cast("long").alias("total_non_null"),
+        F.count_if(present & F.col("_p").isNull()).cast("long").alias("parse_failures"))
+    first = _head(df, present, id_col, raw_col, head).select(id_col, parse(raw_col).alias("_p"))
+    valid = F.col("_p").isNotNull()
+    keys = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(valid, F.map_keys("_p"))))))
     heads = first.agg(F.count_if(valid).cast("long").alias("valid_dicts"),
                       F.count_if(~valid).cast("long").alias("invalid"),
                       F.array_join(keys, ",").alias("sample_categories"))

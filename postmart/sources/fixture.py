@@ -111,7 +111,11 @@ def _py_dict_literal(m: Column) -> Column:
 
 def postings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell as the CSV holds it: lists and dicts as Python literals, numbers as text."""
-    raw = postings_raw(spark, sf_dir)
+    return to_text(postings_raw(spark, sf_dir))
+
+
+def to_text(raw: DataFrame) -> DataFrame:
+    """Raw postings -> CSV cell text (a projection, no data movement)."""
     return raw.withColumns({
         "salary_year_avg": F.col("salary_year_avg").cast("string"),
         "salary_hour_avg": F.col("salary_hour_avg").cast("string"),
