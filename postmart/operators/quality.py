@@ -206,9 +206,11 @@ def data_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 # ---------------------------------------------------------------------------
 
 
-def _head(df: DataFrame, present: Column, id_col: str, raw_col: str, head: int) -> DataFrame:
-    """First ``head`` present cells by id: a per-task top-k and one small merge, no global sort."""
-    return df.where(present).select(id_col, raw_col).orderBy(F.col(id_col).asc()).limit(head)
+def _head_bound(df: DataFrame, present: Column, id_col: str, head: int):
+    """Largest id among the first ``head`` present cells (a per-task top-k, one scalar back)."""
+    row = df.where(present).select(id_col).orderBy(F.col(id_col).asc()).limit(head) \
+        .agg(F.max(id_col).alias("b")).first()
+    return None if row is None else row["b"]
 
 
 def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int = 10, samples: int = 3,
@@ -217,24 +219,26 @@ def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int =
 
     A cell is present when its raw text is not missing nor an empty-list token; it is
     valid when it parses into a list. ``parse_failures`` counts invalid cells over all
-    rows (one parse pass); the head is cut before its cells are parsed again.
-    ``sample_values`` shows the first ``samples`` valid lists, each cut to ``sample_items``.
+    rows. The first ``head`` cells are found by a top-k on id; then one aggregation pass
+    parses every cell once and computes all counts. ``sample_values`` shows the first
+    ``samples`` valid lists, each cut to ``sample_items`` (collected from at most ``head`` rows).
     """
     from ..functions.parse import parse_list
     parse = parse or parse_list
     present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_LIST_TOKENS)
-    totals = df.select(raw_col, parse(raw_col).alias("_p")).agg(
-        F.count_if(present).cast("long").alias("total_non_null"),
-        F.count_if(present & F.col("_p").isNull()).cast("long").alias("parse_failures"))
-    first = _head(df, present, id_col, raw_col, head).select(id_col, parse(raw_col).alias("_p"))
+    bound = _head_bound(df, present, id_col, head)
+    in_head = present & (F.col(id_col) <= F.lit(bound)) if bound is not None else F.lit(False)
     valid = F.col("_p").isNotNull()
-    ordered = F.array_sort(F.collect_list(F.when(valid, F.struct(F.col(id_col).alias("i"),
-                                                                 F.slice("_p", 1, sample_items).alias("v")))))
-    heads = first.agg(F.count_if(valid).cast("long").alias("valid_lists"),
-                      F.count_if(~valid).cast("long").alias("invalid"),
-                      F.slice(ordered, 1, samples).alias("_s"))
+    sample = F.when(in_head & valid, F.struct(F.col(id_col).alias("i"), F.slice("_p", 1, sample_items).alias("v")))
+    out = df.select(id_col, raw_col, parse(raw_col).alias("_p")).agg(
+        F.count_if(present).cast("long").alias("total_non_null"),
+        F.count_if(present & ~valid).cast("long").alias("parse_failures"),
+        F.count_if(in_head & valid).cast("long").alias("valid_lists"),
+        F.count_if(in_head & ~valid).cast("long").alias("invalid"),
+        F.slice(F.array_sort(F.collect_list(sample)), 1, samples).alias("_s"))
     text = F.array_join(F.transform("_s", lambda s: F.array_join(s["v"], ",")), " | ")
-    return _one_row_pair(totals, heads.select("valid_lists", "invalid", text.alias("sample_values")))
+    return out.select("total_non_null", "parse_failures", "valid_lists", "invalid",
+                      F.when(F.size("_s") > 0, text).alias("sample_values"))
 
 
 def dict_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int = 100, parse=None) -> DataFrame:
@@ -242,18 +246,14 @@ def dict_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int =
     from ..functions.parse import parse_dict
     parse = parse or parse_dict
     present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_DICT_TOKENS)
-    totals = df.select(raw_col, parse(raw_col).alias("_p")).agg(
-        F.count_if(present).cast("long").alias("total_non_null"),
-        F.count_if(present & F.col("_p").isNull()).cast("long").alias("parse_failures"))
-    first = _head(df, present, id_col, raw_col, head).select(id_col, parse(raw_col).alias("_p"))
+    bound = _head_bound(df, present, id_col, head)
+    in_head = present & (F.col(id_col) <= F.lit(bound)) if bound is not None else F.lit(False)
     valid = F.col("_p").isNotNull()
-    keys = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(valid, F.map_keys("_p"))))))
-    heads = first.agg(F.count_if(valid).cast("long").alias("valid_dicts"),
-                      F.count_if(~valid).cast("long").alias("invalid"),
-                      F.array_join(keys, ",").alias("sample_categories"))
-    return _one_row_pair(totals, heads)
-
-
-def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side by side of two one-row frames (a join on a constant key, one row each side)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    keys = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(in_head & valid, F.map_keys("_p"))))))
+    out = df.select(id_col, raw_col, parse(raw_col).alias("_p")).agg(
+        F.count_if(present).cast("long").alias("total_non_null"),
+        F.count_if(present & ~valid).cast("long").alias("parse_failures"),
+        F.count_if(in_head & valid).cast("long").alias("valid_dicts"),
+        F.count_if(in_head & ~valid).cast("long").alias("invalid"),
+        F.array_join(keys, ",").alias("sample_categories"))
+    return out

@@ -12,6 +12,7 @@ run leaves the previous publication in place.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,7 +87,8 @@ def violation_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
 def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, run_id: str,
                            on_violation: str, **opts) -> LoadReport:
     tables = build_3nf(staging, **opts)
-    TB.write_tables(tables, base, run_id)
+    run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    TB.write_tables(tables, base, run_id, run_ts)
     written = {name: TB.read_table(spark, base, name, run_id) for name in tables}
     bad = {k: n for k, n in violation_counts(written).items() if n}
     if bad and on_violation == "fail":
@@ -100,7 +102,7 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
         written["jobs"] = keep
         written["job_skills"] = C.cascade_delete(written["job_skills"], dropped, "job_id")
         run_id = run_id + "-q"
-        TB.write_tables(written, base, run_id)
+        TB.write_tables(written, base, run_id, run_ts)
     TB.publish(spark, base, run_id)
     counts = {name: TB.read_table(spark, base, name, run_id).count() for name in tables}
     return LoadReport(True, run_id, None, counts, bad)

@@ -85,14 +85,21 @@ def declare_tables(spark: SparkSession, base: str, run_id: str, reset_staging: b
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(run_path(base, run_id, name))
 
 
-def write_tables(tables: dict[str, DataFrame], base: str, run_id: str) -> dict[str, str]:
-    """Write each target of a run (S7), children last; returns name -> path."""
+def write_tables(tables: dict[str, DataFrame], base: str, run_id: str,
+                 run_ts: _dt.datetime | None = None) -> dict[str, str]:
+    """Write each target of a run (S7), parents first; returns name -> path.
+
+    With ``run_ts`` every row carries ``created_at`` = that one instant (C7).
+    """
     paths = {}
     for name in reversed(REFRESH_ORDER):
         if name in tables:
             cols = [f.name for f in TARGET_SCHEMAS[name].fields]
             path = run_path(base, run_id, name)
-            tables[name].select(*cols).write.mode("overwrite").parquet(path)
+            out = tables[name].select(*cols)
+            if run_ts is not None:
+                out = stamp(out, run_ts)
+            out.write.mode("overwrite").parquet(path)
             paths[name] = path
     return paths
 

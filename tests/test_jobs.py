@@ -56,6 +56,9 @@ def test_unknown_member_load_passes(spark, scratch):
     rep = J.run_full(spark, csv, base, unknown_member=True)
     assert rep.ok, rep.message
     assert TB.read_table(spark, base, "companies").where(F.col("company_name") == "Unknown").count() == 1
+    path = TB.run_path(base, rep.run_id, "jobs")
+    stamps = spark.read.parquet(path).select("created_at").distinct().collect()
+    assert len(stamps) == 1 and stamps[0][0] is not None       # one load stamp per run
 
 
 def test_gate_stops_before_staging(spark, scratch):
