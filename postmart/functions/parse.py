@@ -11,9 +11,11 @@ Python side only sees the exceptions.
 from __future__ import annotations
 
 import ast
+import sys
 import warnings
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,10 @@ DICT_FAST_PATTERN = rf"^\{{{_ITEM}: ?{_LIST_BODY}(?:, ?{_ITEM}: ?{_LIST_BODY})*+
 STRING_LIST = T.ArrayType(T.StringType())
 SKILL_MAP = T.MapType(T.StringType(), STRING_LIST)
 
+# Ship the literal-parsing UDFs by value: Python workers (on any executor) then need only
+# the standard library and pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -105,10 +111,10 @@ def parse_dict(c: Column | str) -> Column:
     c = _c(c)
     empty = c.isNull() | c.isin(EMPTY_DICT_TOKENS)
     shape = F.coalesce(c.rlike(DICT_FAST_PATTERN), F.lit(False))
-    raw_map = F.from_json(F.when(shape, _as_json(c)), T.MapType(T.StringType(), T.StringType()))
-    repeated = F.size(F.map_keys(raw_map)) != F.size(F.array_distinct(F.map_keys(raw_map)))
+    # The pattern guarantees every value is a list of strings, so one typed decode suffices.
+    fast_value = F.from_json(F.when(shape, _as_json(c)), SKILL_MAP)
+    repeated = F.size(F.map_keys(fast_value)) != F.size(F.array_distinct(F.map_keys(fast_value)))
     fast = shape & ~F.coalesce(repeated, F.lit(False))
-    fast_value = F.transform_values(raw_map, lambda _k, v: F.from_json(v, STRING_LIST))
     slow_value = _literal_dict(F.when(~empty & ~fast, c))
     return F.when(empty, F.lit(None).cast(SKILL_MAP)).when(fast, fast_value).otherwise(slow_value)
 
