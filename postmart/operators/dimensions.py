@@ -102,22 +102,22 @@ def skills_categorized(staging: DataFrame, dict_col: str = "job_type_skills") ->
         skill_name("item").alias("skill_name"), F.col("category").alias("category_name"))
 
 
-def skills_uncategorized(staging: DataFrame, list_col: str = "job_skills") -> DataFrame:
-    """(skill_name, NULL) from the skill lists; NULL items are dropped, '' stays."""
+def skills_uncategorized(staging: DataFrame, list_col: str = "job_skills", drop_blank: bool = False) -> DataFrame:
+    """(skill_name, NULL) from the skill lists; NULL items are dropped, '' stays unless ``drop_blank``."""
     items = staging.select(F.explode(list_col).alias("item")).where(F.col("item").isNotNull())
-    return items.select(skill_name("item").alias("skill_name"),
-                        F.lit(None).cast("string").alias("category_name"))
+    out = items.select(skill_name("item").alias("skill_name"), F.lit(None).cast("string").alias("category_name"))
+    return out.where(F.col("skill_name") != "") if drop_blank else out
 
 
 def dim_skills(staging: DataFrame, categories: DataFrame, dict_col: str = "job_type_skills",
-               list_col: str = "job_skills") -> DataFrame:
+               list_col: str = "job_skills", drop_blank: bool = False) -> DataFrame:
     """One row per skill with its category id.
 
     Dict skills and list skills are unioned and grouped once: ``min`` skips the NULL
     category of list-only skills, so a skill seen in any dict gets the smallest of its
     categories (one of the outcomes the first-insert-wins rule allows).
     """
-    both = skills_categorized(staging, dict_col).unionByName(skills_uncategorized(staging, list_col))
+    both = skills_categorized(staging, dict_col).unionByName(skills_uncategorized(staging, list_col, drop_blank))
     members = both.groupBy("skill_name").agg(F.min("category_name").alias("category_name"))
     keyed = dense_key(members, ["skill_name"], "skill_id")
     return map_category_id(keyed, categories).select("skill_id", "skill_name", "category_id")

@@ -213,7 +213,15 @@ def _head_bound(df: DataFrame, present: Column, id_col: str, head: int):
     return None if row is None else row["b"]
 
 
-def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int = 10, samples: int = 3,
+def _in_head(df: DataFrame, present: Column, id_col: str, head: int | None) -> Column:
+    """Condition for the first ``head`` present cells by id (``head=None``: every present cell)."""
+    if head is None:
+        return present
+    bound = _head_bound(df, present, id_col, head)
+    return present & (F.col(id_col) <= F.lit(bound)) if bound is not None else F.lit(False)
+
+
+def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int | None = 10, samples: int = 3,
                    sample_items: int = 3, parse=None) -> DataFrame:
     """List-column check: totals over all rows, valid / invalid over the first ``head`` cells.
 
@@ -226,34 +234,44 @@ def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int =
     from ..functions.parse import parse_list
     parse = parse or parse_list
     present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_LIST_TOKENS)
-    bound = _head_bound(df, present, id_col, head)
-    in_head = present & (F.col(id_col) <= F.lit(bound)) if bound is not None else F.lit(False)
+    in_head = _in_head(df, present, id_col, head)
     valid = F.col("_p").isNotNull()
+    # Samples: only the first ``samples`` valid lists are kept (a bounded top-k per task).
     sample = F.when(in_head & valid, F.struct(F.col(id_col).alias("i"), F.slice("_p", 1, sample_items).alias("v")))
+    first = df.select(id_col, raw_col, parse(raw_col).alias("_p")).where(in_head & valid) \
+        .select(sample.alias("s")).orderBy(F.col("s.i")).limit(samples)
+    bound_sample = first.agg(F.array_sort(F.collect_list("s")).alias("_s"))
     out = df.select(id_col, raw_col, parse(raw_col).alias("_p")).agg(
         F.count_if(present).cast("long").alias("total_non_null"),
         F.count_if(present & ~valid).cast("long").alias("parse_failures"),
         F.count_if(in_head & valid).cast("long").alias("valid_lists"),
         F.count_if(in_head & ~valid).cast("long").alias("invalid"),
-        F.slice(F.array_sort(F.collect_list(sample)), 1, samples).alias("_s"))
-    text = F.array_join(F.transform("_s", lambda s: F.array_join(s["v"], ",")), " | ")
-    return out.select("total_non_null", "parse_failures", "valid_lists", "invalid",
-                      F.when(F.size("_s") > 0, text).alias("sample_values"))
+        F.coalesce(F.sum(F.size(F.filter("_p", lambda x: x.isNull()))), F.lit(0)).cast("long").alias("null_items"))
+    s_row = bound_sample.first()
+    samples_text = " | ".join(",".join(x if x is not None else "None" for x in r["v"]) for r in (s_row["_s"] or [])) \
+        if s_row else ""
+    return out.select("total_non_null", "parse_failures", "valid_lists", "invalid", "null_items",
+                      F.lit(samples_text or None).cast("string").alias("sample_values"))
+
 
+def dict_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int | None = 100,
+                   parse=None) -> DataFrame:
+    """Dict-column check: as ``list_structure``; keys of the first ``head`` valid dicts, sorted.
 
-def dict_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int = 100, parse=None) -> DataFrame:
-    """Dict-column check: as ``list_structure``; keys of the first ``head`` valid dicts, sorted."""
+    Keys are exploded and de-duplicated as a distributed distinct; only the distinct key
+    vocabulary comes back to be joined into one text value.
+    """
     from ..functions.parse import parse_dict
     parse = parse or parse_dict
     present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_DICT_TOKENS)
-    bound = _head_bound(df, present, id_col, head)
-    in_head = present & (F.col(id_col) <= F.lit(bound)) if bound is not None else F.lit(False)
+    in_head = _in_head(df, present, id_col, head)
     valid = F.col("_p").isNotNull()
-    keys = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(in_head & valid, F.map_keys("_p"))))))
-    out = df.select(id_col, raw_col, parse(raw_col).alias("_p")).agg(
+    parsed = df.select(id_col, raw_col, parse(raw_col).alias("_p"))
+    keys = parsed.where(in_head & valid).select(F.explode(F.map_keys("_p")).alias("k")).distinct()
+    names = sorted(r["k"] for r in keys.collect())
+    return parsed.agg(
         F.count_if(present).cast("long").alias("total_non_null"),
         F.count_if(present & ~valid).cast("long").alias("parse_failures"),
         F.count_if(in_head & valid).cast("long").alias("valid_dicts"),
         F.count_if(in_head & ~valid).cast("long").alias("invalid"),
-        F.array_join(keys, ",").alias("sample_categories"))
-    return out
+        F.lit(",".join(names) or None).cast("string").alias("sample_categories"))

@@ -339,6 +339,7 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM present) AS total_non_null,
        CAST(0 AS BIGINT) AS parse_failures,
        (SELECT CAST(count(*) AS BIGINT) FROM first10) AS valid_lists,
        CAST(0 AS BIGINT) AS invalid,
+       CAST(0 AS BIGINT) AS null_items,
        (SELECT string_agg(s, ' | ' ORDER BY id) FROM samples) AS sample_values"""
     o["dict_structure"] = STG + """,
 present AS (SELECT raw.id FROM raw JOIN tdl ON tdl.k = raw.id),

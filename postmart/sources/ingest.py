@@ -18,24 +18,33 @@ from ..schemas import FLAG_COLUMNS, PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTUR
 
 
 def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-             tokens: list[str] | None = None, multiline: bool = True, with_source: bool = True) -> DataFrame:
+             tokens: list[str] | None = None, multiline: bool = True, with_source: bool = True,
+             extra: str = "drop") -> DataFrame:
     """Read posting CSV files as text (S1) and null the missing tokens.
 
+    Columns are matched by header name, as the source's reader does (Spark maps a
+    user schema by position). No type inference pass: every cell is text. Columns not
+    in ``columns`` are dropped (``extra="drop"``) or rejected (``extra="error"``);
+    missing ones stay absent so the schema check reports them.
     ``multiline=True`` allows quoted line breaks but reads each file in one task; use
     ``False`` for large files without embedded newlines so they split. Converter
     columns (the list / dict cells) keep their raw text: their parser decides.
     With ``with_source`` the file path and block start are kept for ``create_row_id``.
     """
     cols = columns or RAW_COLUMNS
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
+    df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline)
           .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
           .option("ignoreTrailingWhiteSpace", False).option("mode", "PERMISSIVE").csv(path))
+    extras = [c for c in df.columns if c not in cols]
+    if extras and extra == "error":
+        raise ValueError(f"unexpected columns in {path}: {extras}")
+    keep = [c for c in cols if c in df.columns]
+    df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep])
     if with_source:
         df = df.withColumns({"_src_file": F.col("_metadata.file_path"),
                              "_src_block": F.col("_metadata.file_block_start"),
                              "_src_pos": F.monotonically_increasing_id()})
-    plain = [c for c in cols if c not in SEMI_STRUCTURED]
+    plain = [c for c in keep if c not in SEMI_STRUCTURED]
     return null_tokens(df, plain, PANDAS_NA_TOKENS if tokens is None else tokens)
 
 

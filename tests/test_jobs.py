@@ -102,3 +102,13 @@ def test_streaming_feed_matches_batch_ingest(spark, scratch):
     assert s.count() == n and s.select("id").distinct().count() == n
     batch = I.stage(J.read_postings_csv(spark, landing)).drop("id")
     assert sorted(map(tuple, s.drop("id").collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
+
+
+def test_scan_csv_maps_by_header_name(spark, scratch):
+    df = spark.createDataFrame([("x", "T", "extra")], "job_title string, company_name string, surprise string")
+    df.write.option("header", True).csv(f"{scratch}/h")
+    got = I.scan_csv(spark, f"{scratch}/h", with_source=False)
+    assert got.columns == ["job_title", "company_name"] and tuple(got.first()) == ("x", "T")
+    import pytest
+    with pytest.raises(ValueError):
+        I.scan_csv(spark, f"{scratch}/h", extra="error")
