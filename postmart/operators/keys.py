@@ -31,12 +31,15 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], out: str, start
     """Add ``out`` = start, start+1, ... following ``order_cols`` (ascending, NULLs first).
 
     The order columns must identify rows uniquely; otherwise ties are numbered in an
-    unspecified order. The partition count defaults to ``spark.sql.shuffle.partitions``.
+    unspecified order. The partition count defaults to ``spark.sql.shuffle.partitions``
+    (set it so that one range fits an executor task at the target scale).
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order_exprs(order_cols)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range shuffle uses spark.sql.shuffle.partitions and AQE
+    # may coalesce small neighbours; merged partitions are adjacent ranges, so order holds.
+    ranged = (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)) \
+        .sortWithinPartitions(*order)
     if checkpoint:
         ensure_checkpoint_dir(spark)
         ranged = ranged.checkpoint(eager=True)

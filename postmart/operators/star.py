@@ -153,15 +153,26 @@ def star_bridge_skills(bridge: DataFrame) -> DataFrame:
 def skills_by_category(bridge: DataFrame, skills: DataFrame, categories: DataFrame) -> DataFrame:
     """Postings per (category, skill) with category subtotals and a grand total (ROLLUP).
 
-    ``level``: 0 = skill row, 1 = category subtotal, 3 = grand total, so an
-    uncategorized skill (category NULL) is not confused with a subtotal.
+    ``level`` is the grouping id: 0 = skill row, 1 = category subtotal, 3 = grand total,
+    so an uncategorized skill (category NULL) is not confused with a subtotal. The three
+    levels are computed separately instead of ROLLUP + COUNT(DISTINCT), which would copy
+    every bridge row three times before the distinct shuffle: bridge pairs are unique,
+    so a skill's postings are a plain count; the upper levels count distinct
+    (category, job) and job ids, each de-duplicated map-side first.
     """
     named = bridge.join(star_dim_skill(skills, categories).select(
         F.col("skill_key").alias("skill_id"), "skill_name", F.col("skill_category").alias("category_name")),
         "skill_id", "inner")
-    return named.rollup("category_name", "skill_name").agg(
-        F.grouping_id().cast("int").alias("level"),
-        F.count_distinct("job_id").cast("long").alias("n_postings"))
+    per_skill = named.groupBy("category_name", "skill_name").agg(
+        F.lit(0).alias("level"), F.count(F.lit(1)).cast("long").alias("n_postings"))
+    per_category = named.select("category_name", "job_id").distinct().groupBy("category_name").agg(
+        F.lit(None).cast("string").alias("skill_name"), F.lit(1).alias("level"),
+        F.count(F.lit(1)).cast("long").alias("n_postings"))
+    total = named.select("job_id").distinct().agg(
+        F.lit(None).cast("string").alias("category_name"), F.lit(None).cast("string").alias("skill_name"),
+        F.lit(3).alias("level"), F.count(F.lit(1)).cast("long").alias("n_postings"))
+    cols = ["category_name", "skill_name", "level", "n_postings"]
+    return per_skill.select(*cols).unionByName(per_category.select(*cols)).unionByName(total.select(*cols))
 
 
 def postings_by_location(jobs: DataFrame, locations: DataFrame) -> DataFrame:
