@@ -84,28 +84,38 @@ def violation_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
     return out
 
 
+def quarantine_jobs(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Drop postings that break a NOT NULL rule of ``jobs`` and cascade to the bridge."""
+    cols = [r.column for r in NOT_NULL_RULES if r.table == "jobs"]
+    broken = F.lit(False)
+    for c in cols:
+        broken = broken | F.col(c).isNull()
+    jobs = tables["jobs"]
+    dropped = jobs.where(broken).select("job_id")
+    out = dict(tables)
+    out["jobs"] = jobs.where(~broken)
+    out["job_skills"] = C.cascade_delete(tables["job_skills"], dropped, "job_id")
+    return out, dropped
+
+
 def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, run_id: str,
                            on_violation: str, **opts) -> LoadReport:
+    """Build, (optionally quarantine), write once into the run folder, check, then publish."""
     tables = build_3nf(staging, **opts)
+    quarantined = 0
+    if on_violation == "quarantine":
+        tables, dropped = quarantine_jobs(tables)
+        quarantined = dropped.count()
     run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     TB.write_tables(tables, base, run_id, run_ts)
     written = {name: TB.read_table(spark, base, name, run_id) for name in tables}
     bad = {k: n for k, n in violation_counts(written).items() if n}
-    if bad and on_violation == "fail":
+    if bad:
         return LoadReport(False, run_id, "constraint violations: " + ", ".join(sorted(bad)), violations=bad)
-    if bad and on_violation == "quarantine":
-        keep = written["jobs"]
-        for r in NOT_NULL_RULES:
-            if r.table == "jobs":
-                keep = keep.where(F.col(r.column).isNotNull())
-        dropped = written["jobs"].join(keep.select("job_id"), "job_id", "left_anti")
-        written["jobs"] = keep
-        written["job_skills"] = C.cascade_delete(written["job_skills"], dropped, "job_id")
-        run_id = run_id + "-q"
-        TB.write_tables(written, base, run_id, run_ts)
     TB.publish(spark, base, run_id)
-    counts = {name: TB.read_table(spark, base, name, run_id).count() for name in tables}
-    return LoadReport(True, run_id, None, counts, bad)
+    counts = {name: df.count() for name, df in written.items()}
+    viol = {"quarantined:jobs": quarantined} if quarantined else {}
+    return LoadReport(True, run_id, None, counts, viol)
 
 
 def run_full(spark: SparkSession, csv_path: str, base: str, on_violation: str = "fail",

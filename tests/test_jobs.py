@@ -40,6 +40,7 @@ def test_run_full_fails_on_null_company_then_quarantine_publishes(spark, scratch
     assert TB.current_run(spark, base) is None          # nothing published
     rep2 = J.run_transform_only(spark, base, on_violation="quarantine")
     assert rep2.ok and TB.current_run(spark, base) == rep2.run_id
+    assert rep2.violations["quarantined:jobs"] == rep.violations["not_null:jobs.company_id"]
     jobs = TB.read_table(spark, base, "jobs")
     assert jobs.where(F.col("company_id").isNull()).count() == 0
     staged = TB.read_table(spark, base, "staging").count()
