@@ -130,13 +130,19 @@ class Mart:
         return FX.fact_jobs(self.staging, self.companies, self.locations_ref, self.platforms, self.schedules,
                             keep_staging_id=True)
 
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a shared intermediate once (as a load writes its tables) and scan it back."""
+        path = f"{self.base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def bridge(self) -> DataFrame:
-        return B.bridge_job_skills(self.jobs, self.staging, self.skills)
+        return self._kept("job_skills", B.bridge_job_skills(self.jobs, self.staging, self.skills))
 
     @cached_property
     def bridge_id(self) -> DataFrame:
-        return B.bridge_job_skills(self.jobs, self.staging, self.skills, match="id")
+        return self._kept("job_skills_id", B.bridge_job_skills(self.jobs, self.staging, self.skills, match="id"))
 
     def tables(self) -> dict[str, DataFrame]:
         return {"staging": self.staging, "companies": self.companies, "locations": self.locations,
@@ -155,7 +161,8 @@ class Mart:
 
     @cached_property
     def star_fact(self) -> DataFrame:
-        return H.star_fact_postings(self.jobs, self.bridge, self.star_location[1], self.star_titles, AS_OF)
+        return self._kept("fact_job_postings", H.star_fact_postings(self.jobs, self.bridge, self.star_location[1],
+                                                                    self.star_titles, AS_OF))
 
 
 # ---------------------------------------------------------------------------
@@ -633,6 +640,50 @@ def q_postings_by_platform_company(spark, sf):
     return H.postings_by_platform_company(m.jobs, m.platforms, m.companies)
 
 
+# ---------------------------------------------------------------------------
+# the generic operators on a table without posting shape (events)
+# ---------------------------------------------------------------------------
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def q_data_profile_events(spark, sf):
+    return Q.data_profile(_m(spark, sf).table("events"), EVENT_COLUMNS)
+
+
+def q_missing_values_events(spark, sf):
+    return Q.missing_values(_m(spark, sf).table("events"), EVENT_COLUMNS)
+
+
+def q_unique_values_events(spark, sf):
+    return Q.unique_values(_m(spark, sf).table("events"), ["user_id", "event_type"])
+
+
+def q_duplicate_rows_events(spark, sf):
+    return Q.duplicate_rows(_m(spark, sf).table("events"), ["user_id", "event_type"])
+
+
+def q_check_isin_events(spark, sf):
+    rule = Q.IsIn("event_type", ("click", "view", "purchase"))
+    return Q.find_failures(_m(spark, sf).table("events"), [rule], row_id="event_id", required=[])
+
+
+def q_page_events(spark, sf):
+    e = _m(spark, sf).table("events").select("event_id", "ts", "user_id", "event_type")
+    return O.page(e, ["ts", "event_id"], 50, 100).select("event_id", "user_id", "event_type")
+
+
+def q_surrogate_key_events(spark, sf):
+    e = _m(spark, sf).table("events").select("event_id", "user_id", "ts")
+    return K.dense_key(e, ["user_id", "ts", "event_id"], "event_seq").select("event_id", "event_seq")
+
+
+def q_star_dim_date_events(spark, sf):
+    d = H.star_dim_date(_m(spark, sf).table("events"), "ts")
+    return d.select(F.col("full_date").cast("string").alias("full_date"), "year", "quarter", "month", "day",
+                    "day_of_week")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -532,6 +532,39 @@ FROM jobs j LEFT JOIN locations l ON j.location_id = l.location_id GROUP BY l.co
 SELECT p.platform_name, c.company_name, CAST(count(*) AS BIGINT) AS n_postings
 FROM jobs j LEFT JOIN platforms p ON j.platform_id = p.platform_id LEFT JOIN companies c ON j.company_id = c.company_id
 GROUP BY p.platform_name, c.company_name""")
+
+    # the generic operators on events
+    ev = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    ev_types = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+                "value": "double", "props": "string"}
+    o["data_profile_events"] = _union([
+        f"SELECT '{c}' AS column_name, '{ev_types[c]}' AS data_type, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+        f"{_pct(f'count(*) FILTER (WHERE {c} IS NULL)', 'count(*)', 1)} AS null_pct, "
+        f"CAST(count(DISTINCT {c}) AS BIGINT) AS unique_count, CAST(count(*) AS BIGINT) AS n_rows, "
+        f"CAST({len(ev)} AS BIGINT) AS n_columns FROM events" for c in ev])
+    o["missing_values_events"] = _union([
+        f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing_count, "
+        f"{_pct(f'count(*) FILTER (WHERE {c} IS NULL)', 'count(*)', 2)} AS missing_pct FROM events" for c in ev])
+    o["unique_values_events"] = _union([
+        f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS unique_count FROM events"
+        for c in ("user_id", "event_type")])
+    o["duplicate_rows_events"] = """
+SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS n FROM events GROUP BY user_id, event_type)"""
+    o["check_isin_events"] = """
+SELECT 'isin' AS "check", 'event_type' AS column_name, event_id AS row_id, event_type AS value
+FROM events WHERE event_type IS NOT NULL AND event_type NOT IN ('click', 'view', 'purchase')"""
+    o["page_events"] = """
+SELECT event_id, user_id, event_type FROM events ORDER BY ts NULLS FIRST, event_id NULLS FIRST LIMIT 50 OFFSET 100"""
+    o["surrogate_key_events"] = """
+SELECT event_id, CAST(row_number() OVER (ORDER BY user_id NULLS FIRST, ts NULLS FIRST, event_id NULLS FIRST) AS BIGINT)
+       AS event_seq FROM events"""
+    o["star_dim_date_events"] = """
+SELECT CAST(d AS VARCHAR) AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week
+FROM (SELECT CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM events)"""
     return o
 
 
