@@ -2,10 +2,12 @@
 
 ``dense_key`` numbers rows 1..n by a global order without funnelling the data through
 one task (a global ``row_number()`` window does that). Rows are range-partitioned and
-sorted on the order columns, the sorted frame is checkpointed to the shared checkpoint
-folder (so a lost executor cannot make a recomputation split the ranges differently),
-every partition is counted, and the running offsets - one small row per partition, a
-bounded broadcast - are added to the position inside the partition.
+sorted on the order columns; in that same stage each row is tagged with its partition
+index and its position inside the partition, and the tagged rows are written once as a
+Parquet table in the shared scratch folder (``spark.checkpoint.dir``). The written
+table cuts the lineage: whatever is retried or re-read later sees the same tags.
+Partition sizes come from a scan of the tag column, their running offsets - one small
+row per partition, a bounded broadcast - are added to the positions.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, fresh_dir
 
 _PID = "__pm_pid"
 _POS = "__pm_pos"
@@ -27,26 +29,32 @@ def _order_exprs(order_cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], out: str, start: int = 1,
-              partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+              partitions: int | None = None, materialize: str = "parquet") -> DataFrame:
     """Add ``out`` = start, start+1, ... following ``order_cols`` (ascending, NULLs first).
 
     The order columns must identify rows uniquely; otherwise ties are numbered in an
-    unspecified order. The partition count defaults to ``spark.sql.shuffle.partitions``
-    (set it so that one range fits an executor task at the target scale).
+    unspecified order. The range shuffle uses ``partitions`` or else
+    ``spark.sql.shuffle.partitions`` (AQE may merge small neighbours, which keeps the
+    order). ``materialize``: ``"parquet"`` (a written table, the default) or
+    ``"checkpoint"`` (Spark's reliable checkpoint).
     """
     spark = df.sparkSession
     order = _order_exprs(order_cols)
-    # Without an explicit count the range shuffle uses spark.sql.shuffle.partitions and AQE
-    # may coalesce small neighbours; merged partitions are adjacent ranges, so order holds.
     ranged = (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)) \
         .sortWithinPartitions(*order)
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
     pid = F.spark_partition_id()
     # monotonically_increasing_id = (partition index << 33) + position in the partition.
     tagged = ranged.withColumn(_PID, pid).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    if materialize == "parquet":
+        path = fresh_dir(spark, "keys")
+        tagged.write.parquet(path)
+        tagged = spark.read.parquet(path)
+    elif materialize == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        tagged = tagged.checkpoint(eager=True)
+    else:
+        raise ValueError("materialize must be 'parquet' or 'checkpoint'")
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__pm_n"))
     # One row per partition: a window without partitioning over n rows is cheap.
     offsets = counts.select(

@@ -33,3 +33,11 @@ def test_insert_if_absent_nulls_distinct(spark):
     assert len(got) == 3  # NULL city never conflicts; in-batch exact duplicates collapse
     same = K.insert_if_absent(existing, new, ["city", "country"], "id", nulls_distinct=False).collect()
     assert len(same) == 2
+
+
+def test_dense_key_checkpoint_variant_and_coalesced_ranges(spark):
+    df = spark.range(0, 3000, numPartitions=5).select(((F.col("id") * 31) % 3001).alias("k"))
+    a = K.dense_key(df, ["k"], "key", materialize="checkpoint")
+    b = K.dense_key(df, ["k"], "key", partitions=40)
+    expect = df.withColumn("key", F.row_number().over(Window.orderBy("k")).cast("long"))
+    assert sorted(a.collect()) == sorted(expect.collect()) == sorted(b.collect())
