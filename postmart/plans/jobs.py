@@ -121,11 +121,12 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
 def run_full(spark: SparkSession, csv_path: str, base: str, on_violation: str = "fail",
              multiline: bool = True, **opts) -> LoadReport:
     run_id = TB.new_run_id()
-    raw = read_postings_csv(spark, csv_path, base, multiline)
+    raw = read_postings_csv(spark, csv_path, None, multiline)
     ok, message = Q.gate(Q.find_failures(raw, Q.posting_rules()))
     if not ok:
         return LoadReport(False, None, message)
-    TB.append_staging(I.stage(raw), base, batch=run_id)
+    # A full run rebuilds staging from this file (ids from 1), only once the file passed the gate.
+    TB.append_staging(I.stage(raw), base, batch=run_id, replace_all=True)
     return _transform_and_publish(spark, TB.read_table(spark, base, "staging"), base, run_id, on_violation, **opts)
 
 

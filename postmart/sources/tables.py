@@ -38,17 +38,19 @@ def append(df: DataFrame, path: str, partitions: int | None = None) -> None:
     out.write.mode("append").parquet(path)
 
 
-def append_staging(staged: DataFrame, base: str, batch: str | None = None, partitions: int | None = None) -> str:
+def append_staging(staged: DataFrame, base: str, batch: str | None = None, partitions: int | None = None,
+                   replace_all: bool = False) -> str:
     """Add one load batch to staging; rewriting the same ``batch`` replaces only that batch.
 
     Staging is partitioned by ``load_batch``, so a retried batch (same name) overwrites
-    its own folder and nothing else: appends are idempotent.
+    its own folder and nothing else: appends are idempotent. ``replace_all`` makes this
+    batch the whole staging table (a full run starts from an empty staging).
     """
     batch = batch or new_run_id()
     out = staged.select(*[f.name for f in STAGING_SCHEMA.fields]).withColumn("load_batch", F.lit(batch))
     if partitions:
         out = out.repartition(partitions)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
      .partitionBy("load_batch").parquet(staging_path(base)))
     return batch
 

@@ -54,8 +54,12 @@ def test_run_full_fails_on_null_company_then_quarantine_publishes(spark, scratch
 def test_unknown_member_load_passes(spark, scratch):
     csv, base = f"{scratch}/in", f"{scratch}/mart"
     write_fixture_csv(spark, csv)
+    J.run_ingest_only(spark, csv, base)                 # leftovers a full run must replace
     rep = J.run_full(spark, csv, base, unknown_member=True)
     assert rep.ok, rep.message
+    n = FIX.postings_raw(spark, SF_SMALL).count()
+    staged = TB.read_table(spark, base, "staging")
+    assert staged.count() == n and staged.agg(F.min("id"), F.max("id")).first() == (1, n)
     assert TB.read_table(spark, base, "companies").where(F.col("company_name") == "Unknown").count() == 1
     path = TB.run_path(base, rep.run_id, "jobs")
     stamps = spark.read.parquet(path).select("created_at").distinct().collect()
