@@ -40,12 +40,11 @@ class LoadReport:
 
 def read_postings_csv(spark: SparkSession, path: str, base: str | None = None, multiline: bool = True) -> DataFrame:
     """CSV -> converted raw postings with ids continuing after the staged ones."""
-    scanned = I.parse_cells(I.scan_csv(spark, path, multiline=multiline))
     start = 1
     if base is not None and TB.staging_exists(spark, base):
         start = K.max_key(TB.read_table(spark, base, "staging"), "id") + 1
-    keyed = K.dense_key(scanned, ["_src_file", "_src_block", "_src_pos"], "id", start=start)
-    return keyed.drop("_src_file", "_src_block", "_src_pos")
+    # Ids first (no shuffle of the rows), then the literal cells are parsed once.
+    return I.parse_cells(I.arrival_ids(I.scan_csv(spark, path, multiline=multiline), "id", start))
 
 
 def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "title_date",

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.keys import dense_key
 from ..schemas import PANDAS_NA_TOKENS, RAW_COLUMNS, RAW_TEXT_SCHEMA, SEMI_STRUCTURED
 from ..session import shared_dir
 from ..sources import ingest as I
@@ -41,10 +40,14 @@ def staging_feed(spark: SparkSession, landing: str, base: str, checkpoint: str |
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         name = f"stream-{batch_id:012d}"
-        keyed_in = batch_df.withColumn("_src_pos", F.monotonically_increasing_id())
+        # A micro-batch is a static frame: write it once so both passes of the id
+        # assignment (split sizes, then ranks) see the same partitions.
+        staged_in = f"{base.rstrip('/')}/_feed/{name}"
+        batch_df.write.mode("overwrite").parquet(staged_in)
+        batch = batch_df.sparkSession.read.parquet(staged_in)
+        keyed_in = batch.withColumn("_src_pos", F.monotonically_increasing_id())
         start = _next_id(batch_df.sparkSession, base, name)
-        keyed = dense_key(keyed_in, ["_src_file", "_src_block", "_src_pos"], "id", start=start)
-        raw = I.parse_cells(keyed.drop("_src_file", "_src_block", "_src_pos"))
+        raw = I.parse_cells(I.arrival_ids(keyed_in, "id", start))
         TB.append_staging(I.stage(raw), base, batch=name)
 
     writer = (cleaned.writeStream.foreachBatch(write_batch)

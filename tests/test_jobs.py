@@ -117,3 +117,14 @@ def test_scan_csv_maps_by_header_name(spark, scratch):
     import pytest
     with pytest.raises(ValueError):
         I.scan_csv(spark, f"{scratch}/h", extra="error")
+
+
+def test_arrival_ids_equal_dense_ranking(spark, scratch):
+    write_fixture_csv(spark, f"{scratch}/in")
+    scanned = I.scan_csv(spark, f"{scratch}/in", multiline=False)
+    a = I.arrival_ids(scanned, "id", start=5).select("id", "job_title", "company_name")
+    from postmart.operators.keys import dense_key
+    b = dense_key(scanned, ["_src_file", "_src_block", "_src_pos"], "id", start=5).select("id", "job_title", "company_name")
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    n = scanned.count()
+    assert a.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first() == (5, n + 4, n)
