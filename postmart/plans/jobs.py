@@ -25,6 +25,7 @@ from ..operators import facts as FX
 from ..operators import keys as K
 from ..operators import quality as Q
 from ..schemas import NOT_NULL_RULES, UNIQUE_RULES
+from ..session import scratch_under
 from ..sources import ingest as I
 from ..sources import tables as TB
 
@@ -99,14 +100,19 @@ def quarantine_jobs(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame],
 
 def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, run_id: str,
                            on_violation: str, **opts) -> LoadReport:
-    """Build, (optionally quarantine), write once into the run folder, check, then publish."""
-    tables = build_3nf(staging, **opts)
-    quarantined = 0
-    if on_violation == "quarantine":
-        tables, dropped = quarantine_jobs(tables)
-        quarantined = dropped.count()
-    run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    TB.write_tables(tables, base, run_id, run_ts)
+    """Build, (optionally quarantine), write once into the run folder, check, then publish.
+
+    Intermediate tables of the build (surrogate-key tags) go under the run's ``_work``
+    folder, so they are kept and removed together with the run.
+    """
+    with scratch_under(spark, f"{TB.run_path(base, run_id)}/_work"):
+        tables = build_3nf(staging, **opts)
+        quarantined = 0
+        if on_violation == "quarantine":
+            tables, dropped = quarantine_jobs(tables)
+            quarantined = dropped.count()
+        run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        TB.write_tables(tables, base, run_id, run_ts)
     written = {name: TB.read_table(spark, base, name, run_id) for name in tables}
     bad = {k: n for k, n in violation_counts(written).items() if n}
     if bad:

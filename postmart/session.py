@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,9 +68,33 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "postmart", *parts])
 
 
+SCRATCH_CONF = "spark.postmart.scratchDir"
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared scratch folder."""
-    return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder for intermediate tables.
+
+    Under ``spark.postmart.scratchDir`` when a job has set it (a load points it into its
+    own run folder, so intermediates live and go with that run), else under the shared
+    scratch folder derived from ``spark.checkpoint.dir``.
+    """
+    leaf = f"{name}-{uuid.uuid4().hex[:12]}"
+    root = spark.conf.get(SCRATCH_CONF, None)
+    return f"{root.rstrip('/')}/{leaf}" if root else shared_dir(spark, leaf)
+
+
+@contextmanager
+def scratch_under(spark: SparkSession, path: str):
+    """Within the block, intermediate tables go under ``path``."""
+    old = spark.conf.get(SCRATCH_CONF, None)
+    spark.conf.set(SCRATCH_CONF, path)
+    try:
+        yield path
+    finally:
+        if old is None:
+            spark.conf.unset(SCRATCH_CONF)
+        else:
+            spark.conf.set(SCRATCH_CONF, old)
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "fresh_dir"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "fresh_dir", "scratch_under"]

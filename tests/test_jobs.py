@@ -61,6 +61,8 @@ def test_unknown_member_load_passes(spark, scratch):
     staged = TB.read_table(spark, base, "staging")
     assert staged.count() == n and staged.agg(F.min("id"), F.max("id")).first() == (1, n)
     assert TB.read_table(spark, base, "companies").where(F.col("company_name") == "Unknown").count() == 1
+    assert os.path.isdir(TB.run_path(base, rep.run_id, "_work"))   # key tags live with the run
+    assert spark.conf.get("spark.postmart.scratchDir", None) is None
     path = TB.run_path(base, rep.run_id, "jobs")
     stamps = spark.read.parquet(path).select("created_at").distinct().collect()
     assert len(stamps) == 1 and stamps[0][0] is not None       # one load stamp per run
