@@ -13,6 +13,7 @@ run leaves the previous publication in place.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,21 +50,35 @@ def read_postings_csv(spark: SparkSession, path: str, base: str | None = None, m
 
 
 def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "title_date",
-              unknown_member: bool = False) -> dict[str, DataFrame]:
-    """All eight target tables from staging, in dependency order."""
-    companies = D.dim_companies(staging)
-    locations = D.dim_locations(staging, unique=unique)
-    platforms = D.dim_platforms(staging)
-    schedules = D.dim_schedule_types(staging)
-    categories = D.dim_skill_categories(staging)
+              unknown_member: bool = False, parallel: int = 4) -> dict[str, DataFrame]:
+    """All eight target tables from staging, in dependency order.
+
+    The independent dimensions are submitted from ``parallel`` driver threads, so their
+    (small) jobs share the executors instead of queueing one after another.
+    """
+    builders = {
+        "companies": lambda: D.dim_companies(staging),
+        "locations": lambda: D.dim_locations(staging, unique=unique),
+        "platforms": lambda: D.dim_platforms(staging),
+        "schedule_types": lambda: D.dim_schedule_types(staging),
+        "skill_categories": lambda: D.dim_skill_categories(staging),
+    }
+    if parallel and parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            futures = {name: pool.submit(fn) for name, fn in builders.items()}
+            dims = {name: f.result() for name, f in futures.items()}
+    else:
+        dims = {name: fn() for name, fn in builders.items()}
+    companies, categories = dims["companies"], dims["skill_categories"]
     skills = D.dim_skills(staging, categories)
     if unknown_member:
         companies = FX.with_unknown_company(companies)
-    jobs = FX.fact_jobs(staging, companies, locations, platforms, schedules, unknown_member=unknown_member,
-                        keep_staging_id=True)
+    jobs = FX.fact_jobs(staging, companies, dims["locations"], dims["platforms"], dims["schedule_types"],
+                        unknown_member=unknown_member, keep_staging_id=True)
     bridge = B.bridge_job_skills(jobs, staging, skills, match=match)
-    return {"companies": companies, "locations": locations, "platforms": platforms, "schedule_types": schedules,
-            "skill_categories": categories, "skills": skills, "jobs": jobs, "job_skills": bridge}
+    return {"companies": companies, "locations": dims["locations"], "platforms": dims["platforms"],
+            "schedule_types": dims["schedule_types"], "skill_categories": categories, "skills": skills,
+            "jobs": jobs, "job_skills": bridge}
 
 
 def violation_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
