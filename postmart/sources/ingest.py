@@ -53,18 +53,29 @@ def arrival_ids(df: DataFrame, out: str = "id", start: int = 1) -> DataFrame:
 
     The rows of one input split are read in order by one task, so their
     ``monotonically_increasing_id`` values are consecutive. One small aggregation gives
-    each split its row count and first position; running offsets over the splits (one
-    row per split, a broadcast bounded by the number of splits) turn each row's
-    position inside its split into a global rank.
+    each split its row count and first position; running offsets over the splits turn
+    each row's position inside its split into a global rank. The offsets table has one
+    row per split (input size / split size, about 32 bytes each: the file path travels
+    as a 64-bit hash), which bounds the broadcast; two paths sharing a hash stop the job
+    instead of being numbered wrongly.
     """
-    split = ["_src_file", "_src_block"]
-    per_split = df.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_src_pos").alias("_first"))
-    before = Window.orderBy(*[F.col(c).asc() for c in split]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select(*split, "_first",
-                               F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    keyed = df.join(F.broadcast(offsets), split, "inner")
+    rows = df.withColumn("_src_fh", F.xxhash64("_src_file"))
+    split = ["_src_fh", "_src_block"]
+    per_split = rows.groupBy("_src_file", "_src_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_src_pos").alias("_first"))
+    before = Window.orderBy(F.col("_src_file").asc(), F.col("_src_block").asc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    ranked = per_split.select(F.xxhash64("_src_file").alias("_src_fh"), "_src_block", "_first",
+                              F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    unique = ranked.groupBy(*split).agg(F.count(F.lit(1)).alias("_k"), F.first("_first").alias("_first"),
+                                        F.first("_off").alias("_off"))
+    # assert_true yields NULL when the check holds; filtering on it keeps it in the plan.
+    offsets = unique.where(F.assert_true(F.col("_k") == 1, "file path hash collision").isNull()) \
+        .select(*split, "_first", "_off")
+    keyed = rows.join(F.broadcast(offsets), split, "inner")
     rank = F.col("_off") + (F.col("_src_pos") - F.col("_first")) + F.lit(start)
-    return keyed.withColumn(out, rank.cast("long")).drop("_off", "_first", "_src_file", "_src_block", "_src_pos")
+    return keyed.withColumn(out, rank.cast("long")).drop(
+        "_off", "_first", "_src_fh", "_src_file", "_src_block", "_src_pos")
 
 
 def create_row_id(df: DataFrame, order_cols: list[str] | None = None, out: str = "id") -> DataFrame:
