@@ -22,7 +22,7 @@ def builds(m):
     from postmart.operators import facts as FX
     from postmart.operators import keys as K
     from postmart.operators import star as H
-    from postmart.sources.ingest import stage
+    from postmart.sources.ingest import arrival_ids, scan_csv, stage
     from pyspark.sql import functions as F
 
     def fact_lookups():
@@ -35,6 +35,7 @@ def builds(m):
 
     return {
         "staging (raw -> typed)": lambda: stage(m.raw),
+        "arrival-order ids (P8) on the CSV": lambda: arrival_ids(scan_csv(m.spark, m.csv_path)),
         "fact lookups (J1-J4, before the dense key)": fact_lookups,
         "dense key (D9) on orders": lambda: K.dense_key(m.table("orders").select("o_orderkey", "o_orderdate"),
                                                         ["o_orderdate", "o_orderkey"], "order_seq"),
