@@ -130,3 +130,26 @@ def test_arrival_ids_equal_dense_ranking(spark, scratch):
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
     n = scanned.count()
     assert a.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first() == (5, n + 4, n)
+
+
+def test_arrival_ids_follow_file_and_split_order(spark, scratch):
+    n = 20000
+    df = spark.range(n).select(F.col("id"), F.format_string("%07d", "id").alias("job_title"),
+                               F.lit("x" * 40).alias("company_name"))
+    for c in RAW_COLUMNS:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    I.write_csv(df.select("id", *RAW_COLUMNS).repartition(3), f"{scratch}/seq")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        scanned = I.scan_csv(spark, f"{scratch}/seq", multiline=False)
+        assert scanned.select("_src_file", "_src_block").distinct().count() > 10   # many splits per file
+        got = I.arrival_ids(scanned, "id").select("id", F.col("job_title").cast("long").alias("seq"))
+        assert got.where(F.col("id") != F.col("seq") + 1).count() == 0
+        assert got.count() == n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
