@@ -29,7 +29,7 @@ from .operators import scd as SCD
 from .operators import star as H
 from .schemas import (CHECK_RULES, FOREIGN_KEY_RULES, KEY_COLUMNS, LENGTH_RULES, PANDAS_NA_TOKENS,
                       RAW_COLUMNS, SEMI_STRUCTURED)
-from .session import fresh_dir
+from .session import fresh_dir, scratch_under
 from .sources import fixture as FIX
 from .sources import ingest as I
 from .sources import tables as TB
@@ -684,6 +684,17 @@ def q_star_dim_date_events(spark, sf):
                     "day_of_week")
 
 
+def _in_mart_folder(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a query with its intermediate tables (key tags) under the mart's own folder."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        mart = Mart.get(spark, sf)
+        with scratch_under(spark, f"{mart.base}/_work"):
+            return fn(spark, sf)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+    name[2:]: _in_mart_folder(fn) for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
