@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_pack, packing
+from . import binary_pack, contamination, near_dup, packing, quality, repetition
 from .common import cut, table
 
 
@@ -18,11 +18,30 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op2_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+
+
+def op5_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrices are written, read back, and every segment is reported from what was read."""
     return binary_pack.read_pieces(cut(binary_pack.pack_matrices(table(spark, sf_dir, "documents"), tokenizer()),
                                        "matrices"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_token_matrices)}
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_suffix_repetition, op5_prob_min_hash, op6_token_matrices, op9_string_tiling,
+    op10_factorisation_machine)}
 ORACLE: dict[str, str] = {}
