@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_pack, contamination, credentials, extraction, near_dup, packing, quality, repetition, warc
+from . import binary_pack, contamination, credentials, extraction, licenses, near_dup, packing, quality, repetition, warc
 from .common import cut, table
 
 
@@ -40,6 +40,10 @@ def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        "matrices"))
 
 
+def op7_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,6 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_suffix_repetition, op3_page_differencing, op4_credential_linking, op5_prob_min_hash, op6_token_matrices, op8_revisit_resolution, op9_string_tiling,
+    op1_best_fit_packing, op2_suffix_repetition, op3_page_differencing, op4_credential_linking, op5_prob_min_hash, op6_token_matrices, op7_license_join, op8_revisit_resolution, op9_string_tiling,
     op10_factorisation_machine)}
 ORACLE: dict[str, str] = {}
