@@ -31,7 +31,7 @@ THRESHOLD = 0.5
 BITMAP_BITS = 24  # 2 MiB, whatever the benchmark's size
 
 HITS = "doc_id long, words binary, seeds array<long>"
-RESULT = ("doc_id long, item_id long, coverage double, matched_words long, item_words long, n_tiles long, "
+RESULT = ("row long, item_id long, coverage double, matched_words long, item_words long, n_tiles long, "
           "longest_tile long")
 
 
@@ -103,8 +103,32 @@ def tile(doc: np.ndarray, item: np.ndarray, seed: int = SEED) -> list[tuple[int,
     return tiles
 
 
-def contaminated(docs: DataFrame, items: DataFrame, seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per (row of documents, item) whose tiles cover at least ``threshold`` of the item's words."""
+def _tag(docs: DataFrame, keep: list[str], seed: int, bitmap, with_text: bool) -> DataFrame:
+    """doc (a struct of the columns to keep), text (if asked for), words, seeds (null without any in the bitmap) and row."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), F.col("text").cast("string").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            at = pa.array(np.arange(len(batch)))
+            words: list[bytes | None] = [None] * len(batch)
+            seeds: list[np.ndarray | None] = [None] * len(batch)
+            for hit in _rows([pa.record_batch([at, batch.column(1)], names=["doc_id", "text"])], seed, bitmap.value):
+                for k, w, s in zip(*(c.to_pylist() for c in hit.columns)):
+                    words[k], seeds[k] = w, s
+            found = [pa.array(words, pa.binary()), pa.array(seeds, pa.list_(pa.int64()))]
+            if with_text:
+                yield pa.record_batch([batch.column(0), batch.column(1), *found], names=schema.names)
+            else:
+                full = found[0].is_valid()
+                yield pa.record_batch([c.filter(full) for c in (batch.column(0), *found)], names=schema.names)
+    schema = rows.select("doc", *["text"][:with_text], F.lit(None).cast("binary").alias("words"),
+                         F.lit(None).cast("array<long>").alias("seeds")).schema
+    return cut(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "tagged")
+
+
+def judge(docs: DataFrame, items: DataFrame, keep: list[str], seed: int, threshold: float,
+          with_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(tagged rows of documents, RESULT rows with the number of the document's row)."""
     spark = docs.sparkSession
     item_rows = cut(items.select(F.col("item_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
                     .mapInArrow(lambda batches: _rows(batches, seed, None), HITS)
@@ -112,13 +136,12 @@ def contaminated(docs: DataFrame, items: DataFrame, seed: int = SEED, threshold:
     windows = item_rows.select("item", (F.octet_length("words") / 8).cast("long").alias("item_words"),
                                F.explode("seeds").alias("seed"))
     found = (windows.select(F.shiftrightunsigned("seed", 64 - BITMAP_BITS).alias("at"))
-             .selectExpr("at div 8 AS byte", "shiftleft(1, CAST(at % 8 AS INT)) AS bit").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas())  # at most 2**(BITMAP_BITS - 3) rows
+             .selectExpr("at div 8 AS byte", "shiftleft(1, CAST(at % 8 AS INT)) AS bit").groupBy("byte")
+             .agg(F.bit_or("bit").alias("bits")).toPandas())  # at most 2**(BITMAP_BITS - 3) rows
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     bitmap[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap)
-    hits = cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-               .mapInArrow(lambda batches: _rows(batches, seed, shared.value), HITS)
-               .withColumn("row", F.monotonically_increasing_id()), "hits")
+    tagged = _tag(docs, keep, seed, spark.sparkContext.broadcast(bitmap), with_text)
+    hits = tagged.where("words IS NOT NULL")
     # A tile of n words holds n - seed + 1 windows, so c shared windows cover at most c * seed words.
     pairs = (hits.select("row", F.explode("seeds").alias("seed")).join(windows, "seed")
              .groupBy("row", "item").agg(F.count("*").alias("n"), F.first("item_words").alias("item_words"))
@@ -127,18 +150,34 @@ def contaminated(docs: DataFrame, items: DataFrame, seed: int = SEED, threshold:
     def run(batches):
         for batch in batches:
             out = []
-            for doc_id, words, item_id, item in zip(*(c.to_pylist() for c in batch.columns)):
+            for row, words, item_id, item in zip(*(c.to_pylist() for c in batch.columns)):
                 item = np.frombuffer(item, np.uint64)
                 tiles = tile(np.frombuffer(words, np.uint64), item, seed)
                 marked = sum(n for n, _, _ in tiles)
                 if marked >= threshold * len(item):
-                    out.append((doc_id, item_id, marked / len(item), marked, len(item), len(tiles),
+                    out.append((row, item_id, marked / len(item), marked, len(item), len(tiles),
                                 max((n for n, _, _ in tiles), default=0)))
             columns = list(zip(*out)) or [[]] * 7
             yield pa.record_batch([pa.array(c, pa.float64() if k == 2 else pa.int64()) for k, c in enumerate(columns)],
                                   names=[c.split()[0] for c in RESULT.split(", ")])
     of_item = item_rows.select("item", F.col("doc_id").alias("item_id"), F.col("words").alias("item_text"))
-    return (pairs.join(hits.select("row", "doc_id", "words"), "row").join(of_item, "item")
-            .select("doc_id", "words", "item_id", "item_text").mapInArrow(run, RESULT))
+    return tagged, (pairs.join(hits.select("row", "words"), "row").join(of_item, "item")
+                    .select("row", "words", "item_id", "item_text").mapInArrow(run, RESULT))
 
 
+def contaminated(docs: DataFrame, items: DataFrame, seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per (row of documents, item) whose tiles cover at least ``threshold`` of the item's words."""
+    tagged, found = judge(docs, items, ["doc_id"], seed, threshold)
+    return (found.join(tagged.select("row", F.col("doc.doc_id").cast("long").alias("doc_id")), "row")
+            .select("doc_id", *(c.split()[0] for c in RESULT.split(", ")[1:])))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of documents, with all columns, that cover no item."""
+    tagged, found = judge(docs, items, [c for c in docs.columns if c != "text"], seed, threshold, with_text=True)
+    bad = cut(found.select("row").distinct(), "contaminated")
+    columns = [F.col("text").cast(docs.schema[c].dataType).alias(c) if c == "text" else F.col("doc")[c].alias(c)
+               for c in docs.columns]
+    # Only rows with shared windows take part in the join.
+    return (tagged.where("words IS NULL").select(*columns)
+            .unionByName(tagged.where("words IS NOT NULL").join(bad, "row", "left_anti").select(*columns)))

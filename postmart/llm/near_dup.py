@@ -153,8 +153,13 @@ def _texts(batch_column):
             yield h[first[i]:first[i + 1]], w[first[i]:first[i + 1]]
 
 
-def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, text, key (of its words), signature (null without words) and row, a number, written once."""
+def sign(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """doc (a struct of the columns to keep), text, key (of its words), signature (null without words) and row.
+
+    Written once, so that the row numbers hold.
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), F.col("text").cast("string").alias("text"))
+
     def run(batches):
         for batch in batches:
             data, offsets = tv.strings(batch.column(1))
@@ -169,10 +174,9 @@ def sign(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                     pa.array([k.tobytes() for k in key], pa.binary()), pa.array(of, pa.binary())],
-                    names=["doc_id", "text", "key", "signature"])
-    return cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-               .mapInArrow(run, "doc_id long, text string, key binary, signature binary")
-               .withColumn("row", F.monotonically_increasing_id()), "signatures")
+                    names=["doc", "text", "key", "signature"])
+    schema = rows.select("doc", "text", F.lit(b"").alias("key"), F.lit(None).cast("binary").alias("signature")).schema
+    return cut(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
 def _bands(batches):
@@ -295,11 +299,12 @@ def cross_links(pairs: DataFrame, parts: DataFrame, nodes: DataFrame, threshold:
             .mapInArrow(_cross_links(threshold), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id and class_size of every row of (doc_id, text)."""
-    signed = sign(docs)
-    texts = cut(signed.groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"),
-                                          F.count("*").alias("n")), "nodes")
+def classify(signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """key, component, n (copies) and best (of its copies that with the smallest doc_id) of every distinct text."""
+    doc_id = F.col("doc.doc_id").cast("long")
+    texts = cut(signed.groupBy("key").agg(
+        F.min("row").alias("node"), F.count("*").alias("n"),
+        F.min(F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), "row")).alias("best")), "nodes")
     nodes = (signed.where("signature IS NOT NULL").select(F.col("row").alias("node"), "signature", "text")
              .join(texts.select("node"), "node"))
     pairs = cut(star_pairs(nodes), "pairs")
@@ -308,9 +313,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = cut(cross_links(pairs, parts, nodes, threshold), "links")
     if more.take(1):
         parts = components(links.unionByName(more))
-    whole = texts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = whole.groupBy("component").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"))
-    of_key = whole.select("key", "component").join(classes, "component").select("key", "class_id", "class_size")
-    return (join_spread(signed.select("doc_id", "row", "key"), of_key, "key",
+    return (texts.join(parts, "node", "left")
+            .select("key", F.coalesce("component", "node").alias("component"), "n", "best"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id and class_size of every row of (doc_id, text)."""
+    signed = sign(docs, ["doc_id"])
+    texts = cut(classify(signed, threshold), "classes")
+    classes = texts.groupBy("component").agg(F.min("best.doc_id").alias("class_id"), F.sum("n").alias("class_size"))
+    of_key = texts.select("key", "component").join(classes, "component").select("key", "class_id", "class_size")
+    return (join_spread(signed.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "row", "key"), of_key, "key",
                         spread_keys(texts.select("key", "n"), "key", "n"), ["row"])
             .select("doc_id", "class_id", "class_size"))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Of each class the row with the smallest doc_id (nulls last, then the first row), with all its columns."""
+    signed = sign(docs, [c for c in docs.columns if c != "text"])
+    kept = classify(signed, threshold).groupBy("component").agg(F.min("best").alias("best")).select("best.row")
+    return signed.join(kept, "row", "left_semi").select(*(
+        F.col("text").cast(docs.schema[c].dataType).alias(c) if c == "text" else F.col("doc")[c].alias(c)
+        for c in docs.columns))
