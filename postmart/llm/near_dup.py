@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import components, cut, join_spread, partitions, spread_keys
+from .common import components, cut, id_bitmap, in_bitmap, join_spread, partitions, spread_keys
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -305,14 +305,16 @@ def classify(signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = cut(signed.groupBy("key").agg(
         F.min("row").alias("node"), F.count("*").alias("n"),
         F.min(F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), "row")).alias("best")), "nodes")
-    nodes = (signed.where("signature IS NOT NULL").select(F.col("row").alias("node"), "signature", "text")
-             .join(texts.select("node"), "node"))
-    pairs = cut(star_pairs(nodes), "pairs")
+    rows = signed.where("signature IS NOT NULL").select(F.col("row").alias("node"), "signature", "text")
+    pairs = cut(star_pairs(rows.select("node", "signature").join(texts.select("node"), "node")), "pairs")
+    # The texts of nodes without a pair are not needed any more: most go by a bitmap before any shuffle.
+    paired = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node")))
+    nodes = cut(in_bitmap(rows, "node", id_bitmap(paired, "node")), "paired")
     links = cut(verify(pairs, nodes.select("node", "text"), threshold), "links")
     parts = components(links)
     more = cut(cross_links(pairs, parts, nodes, threshold), "links")
-    if more.take(1):
-        parts = components(links.unionByName(more))
+    if more.take(1):  # the components so far stand for the links that made them
+        parts = components(parts.selectExpr("node AS a", "component AS b").unionByName(more))
     return (texts.join(parts, "node", "left")
             .select("key", F.coalesce("component", "node").alias("component"), "n", "best"))
 

@@ -36,6 +36,7 @@ RANK = 8
 BINS = 10
 MOST_ROWS = 12_000
 EPOCHS = 7
+LEAST_STEPS = 300  # a small sample is gone through more often
 FOLDS = 5
 LEAST_SCORE = 0.3
 
@@ -133,6 +134,7 @@ def fit(place: np.ndarray, weight: np.ndarray, first: np.ndarray, label: np.ndar
     rng = np.random.RandomState(7)
     model.factors[:] = rng.normal(0, 0.02, model.factors.shape)
     params = np.concatenate([model.linear[:, None], model.factors], axis=1)
+    epochs = max(epochs, -(-LEAST_STEPS * batch // len(label)))
     m, s, step = np.zeros_like(params), np.zeros_like(params), 0
     for _ in range(epochs):
         order = rng.permutation(len(label))
