@@ -35,8 +35,13 @@ RESULT = ("row long, item_id long, coverage double, matched_words long, item_wor
           "longest_tile long")
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Hashes both of whose bits, its first and its next BITMAP_BITS bits, are set."""
+    out = np.ones(len(hashes), bool)
+    for shift in (64 - BITMAP_BITS, 64 - 2 * BITMAP_BITS):
+        bit = (hashes >> np.uint64(shift)).astype(np.int64) & ((1 << BITMAP_BITS) - 1)
+        out &= (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+    return out
 
 
 def _rows(batches, seed: int, bitmap: np.ndarray | None):
@@ -46,11 +51,7 @@ def _rows(batches, seed: int, bitmap: np.ndarray | None):
         for a, b in tv.slices(offsets):
             words, at = tv.word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], tv.ALNUM, True)
             hashes, _, first = tv.windows(words, at, seed)
-            if bitmap is None:
-                hit = np.ones(len(hashes), bool)
-            else:
-                bit = _bits(hashes)
-                hit = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+            hit = np.ones(len(hashes), bool) if bitmap is None else _marked(bitmap, hashes)
             rows = np.flatnonzero(tv.sums(hit, first))
             if len(rows):
                 seeds = [np.unique(hashes[first[i]:first[i + 1]][hit[first[i]:first[i + 1]]]).view(np.int64)
@@ -135,9 +136,10 @@ def judge(docs: DataFrame, items: DataFrame, keep: list[str], seed: int, thresho
                     .withColumn("item", F.monotonically_increasing_id()), "items")
     windows = item_rows.select("item", (F.octet_length("words") / 8).cast("long").alias("item_words"),
                                F.explode("seeds").alias("seed"))
-    found = (windows.select(F.shiftrightunsigned("seed", 64 - BITMAP_BITS).alias("at"))
-             .selectExpr("at div 8 AS byte", "shiftleft(1, CAST(at % 8 AS INT)) AS bit").groupBy("byte")
-             .agg(F.bit_or("bit").alias("bits")).toPandas())  # at most 2**(BITMAP_BITS - 3) rows
+    bits = [F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+            for s in (64 - BITMAP_BITS, 64 - 2 * BITMAP_BITS)]
+    found = (windows.select(F.explode(F.array(*bits)).alias("at"))"at div 8 AS byte", "shiftleft(1, CAST(at % 8 AS INT)) AS bit")
+             .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas())  # at most 2**(BITMAP_BITS - 3) rows
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     bitmap[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
     tagged = _tag(docs, keep, seed, spark.sparkContext.broadcast(bitmap), with_text)
