@@ -138,8 +138,9 @@ def judge(docs: DataFrame, items: DataFrame, keep: list[str], seed: int, thresho
                                F.explode("seeds").alias("seed"))
     bits = [F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
             for s in (64 - BITMAP_BITS, 64 - 2 * BITMAP_BITS)]
-    found = (windows.select(F.explode(F.array(*bits)).alias("at"))"at div 8 AS byte", "shiftleft(1, CAST(at % 8 AS INT)) AS bit")
-             .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas())  # at most 2**(BITMAP_BITS - 3) rows
+    found = (windows.select(F.explode(F.array(*bits)).alias("at"))
+             .selectExpr("at div 8 AS byte", "shiftleft(1, CAST(at % 8 AS INT)) AS bit").groupBy("byte")
+             .agg(F.bit_or("bit").alias("bits")).toPandas())  # at most 2**(BITMAP_BITS - 3) rows
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     bitmap[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
     tagged = _tag(docs, keep, seed, spark.sparkContext.broadcast(bitmap), with_text)
