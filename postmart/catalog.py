@@ -36,7 +36,7 @@ from .sources import tables as TB
 
 AS_OF = _dt.date(1999, 1, 1)          # fixed reference date of days_since_posted
 EARLY_CUTOFF = "1995-01-01"           # first load of the incremental examples
-SCD_FIRST, SCD_SECOND = "1995-01-01", "1998-01-01"
+SCD_FIRST, SCD_SECOND = "1995-01-01", "1999-01-01"   # the second snapshot holds all orders
 PAGE_LIMIT, PAGE_OFFSET = 10000, 10000
 PROFILE_COLUMNS = [c for c in RAW_COLUMNS if c not in SEMI_STRUCTURED]
 
@@ -207,10 +207,18 @@ def q_scan_csv(spark, sf):
                      F.col("salary_hour_avg").cast("double").alias("salary_hour_avg"))
 
 
+def _cells(col: str, *cases: tuple[int, str]) -> F.Column:
+    """``col`` with the given text in the rows whose id is divisible by a number (the first that fits)."""
+    out = None
+    for n, text in cases:
+        out = (F.when if out is None else out.when)(F.col("id") % n == 0, F.lit(text))
+    return out.otherwise(F.col(col)).alias(col)
+
+
 def q_null_tokens(spark, sf):
-    cols = ["job_schedule_type", "job_work_from_home", "company_name"]
-    df = P.null_tokens(_m(spark, sf).text.select("id", *cols), cols, PANDAS_NA_TOKENS + ["  ", "   ", "1"])
-    return df
+    cols = ["job_schedule_type", "job_work_from_home", "company_name", "job_via"]
+    text = _m(spark, sf).text.select("id", *cols[:3], _cells("job_via", (61, "NA"), (67, "n/a"), (71, "-1.#IND")))
+    return P.null_tokens(text, cols, PANDAS_NA_TOKENS + ["  ", "   ", "1"])
 
 
 def q_staging_scan(spark, sf):
@@ -235,14 +243,16 @@ def q_parse_dict(spark, sf):
 
 def q_normalize_list(spark, sf):
     r = _m(spark, sf).raw
-    as_json = r.select("id", F.to_json("job_skills").alias("job_skills"))
+    as_json = r.select("id", F.to_json("job_skills").alias("job_skills")).select("id", F.when(
+        F.col("id") % 83 == 0, F.concat("job_skills", F.lit(" junk"))).when(
+        F.col("id") % 79 == 0, F.concat("job_skills", F.lit(',["x"]'))).otherwise(F.col("job_skills")).alias("job_skills"))
     return as_json.select("id", P.normalize_list(as_json, "job_skills").alias("v")).select(
         "id", _size("v", "n_items"), F.when(F.col("v").isNotNull(), F.array_join("v", "|")).alias("items"))
 
 
 def q_encode_json(spark, sf):
-    r = _m(spark, sf).raw
-    return r.where(F.col("job_type_skills").isNotNull()).select("id", P.encode_json("job_type_skills").alias("json"))
+    cells = _m(spark, sf).text.select("id", _cells("job_type_skills", *BAD_DICTS))
+    return cells.select("id", P.dict_json("job_type_skills").alias("json")).where("json IS NOT NULL")
 
 
 def q_tri_state_bool(spark, sf):
@@ -272,7 +282,12 @@ def q_create_row_id(spark, sf):
 # ---------------------------------------------------------------------------
 
 def q_validate_schema(spark, sf):
-    return Q.failure_summary(_m(spark, sf).raw, Q.posting_rules())
+    """Over text cells with faults of each kind, one column missing."""
+    text = _m(spark, sf).text.drop("search_location").withColumns({
+        "salary_year_avg": _cells("salary_year_avg", (41, "abc"), (43, "-5"), (47, "1.0d"), (59, "123456789012")),
+        "salary_hour_avg": _cells("salary_hour_avg", (41, "5f"), (43, "-0.5"), (59, "1e9")),
+        "salary_rate": _cells("salary_rate", (37, "century"))})
+    return Q.failure_summary(text, Q.posting_rules())
 
 
 def q_check_isin(spark, sf):
@@ -291,7 +306,7 @@ def q_row_count(spark, sf):
 
 
 def q_duplicate_rows(spark, sf):
-    return Q.duplicate_rows(_m(spark, sf).raw, PROFILE_COLUMNS)
+    return Q.duplicate_rows(_m(spark, sf).raw, KEY_COLUMNS)
 
 
 def q_missing_values(spark, sf):
@@ -302,12 +317,32 @@ def q_unique_values(spark, sf):
     return Q.unique_values(_m(spark, sf).raw, KEY_COLUMNS)
 
 
+BAD_LISTS = [(89, "not a list"), (83, "('a', 'b')"), (79, "['x', None]")]
+BAD_DICTS = [(89, "not a dict"), (71, "{'open': ['x'"), (67, "{'n': 3, 'mixed': 'text', 'l': [1, True, None]}")]
+
+
+def _bad_lists(spark, sf):
+    return _m(spark, sf).text.select("id", _cells("job_skills", *BAD_LISTS))
+
+
+def _bad_dicts(spark, sf):
+    return _m(spark, sf).text.select("id", _cells("job_type_skills", *BAD_DICTS))
+
+
 def q_list_structure(spark, sf):
-    return Q.list_structure(_m(spark, sf).text, "job_skills")
+    return Q.list_structure(_bad_lists(spark, sf), "job_skills")
+
+
+def q_list_samples(spark, sf):
+    return Q.list_samples(_bad_lists(spark, sf), "job_skills", 10).select("id", F.array_join("items", "|", "None").alias("items"))
 
 
 def q_dict_structure(spark, sf):
-    return Q.dict_structure(_m(spark, sf).text, "job_type_skills")
+    return Q.dict_structure(_bad_dicts(spark, sf), "job_type_skills")
+
+
+def q_dict_categories(spark, sf):
+    return Q.dict_categories(_bad_dicts(spark, sf), "job_type_skills")
 
 
 def q_data_profile(spark, sf):
@@ -366,8 +401,9 @@ def q_dim_skills(spark, sf):
 
 def q_map_category_id(spark, sf):
     m = _m(spark, sf)
-    named = m.skills.join(m.categories, "category_id", "inner")
-    return named.select("skill_name", "category_name", "category_id")
+    both = D.skills_categorized(m.staging).unionByName(D.skills_uncategorized(m.staging))
+    members = both.groupBy("skill_name").agg(F.min("category_name").alias("category_name"))
+    return D.map_category_id(members, m.categories).select("skill_name", "category_name", "category_id")
 
 
 def q_surrogate_key(spark, sf):
@@ -456,7 +492,7 @@ def q_fact_jobs_ref(spark, sf):
 
 def q_rejoin_staging(spark, sf):
     m = _m(spark, sf)
-    return B.rejoin_staging(m.jobs, m.staging)
+    return B.rejoin_groups(m.jobs, m.staging).select("job_title", _ts("job_posted_date"), "n_jobs", "n_staging", "n_pairs")
 
 
 def q_explode_skills(spark, sf):
@@ -490,7 +526,11 @@ def q_distinct_values(spark, sf):
 
 
 def q_distinct_json(spark, sf):
-    return _m(spark, sf).staging.where(F.col("job_type_skills").isNotNull()).select("job_type_skills").distinct()
+    """Dict cells whose keys stand in the other order in every second row are the same documents."""
+    turned = F.map_from_entries(F.reverse(F.map_entries("job_type_skills")))
+    raw = _m(spark, sf).raw.withColumn("job_type_skills", F.when(F.col("id") % 2 == 0, turned).otherwise(F.col("job_type_skills")))
+    return FIX.to_text(raw).select(P.dict_json("job_type_skills").alias("job_type_skills")).where(
+        "job_type_skills IS NOT NULL").distinct()
 
 
 def q_set_union(spark, sf):
@@ -506,11 +546,11 @@ def q_pair_dedupe(spark, sf):
 
 
 def q_order_by_id(spark, sf):
-    return O.order_by(_m(spark, sf).staging.select("id", "job_title"), ["id"])
+    return O.order_by(O.positions(_m(spark, sf).staging.select("id", "job_title"), ["id"]), ["position"])
 
 
 def q_order_by_pair(spark, sf):
-    return O.order_by(_m(spark, sf).bridge, ["job_id", "skill_id"])
+    return O.order_by(O.positions(_m(spark, sf).bridge, ["job_id", "skill_id"]), ["position"])
 
 
 def q_page(spark, sf):
@@ -533,16 +573,41 @@ def q_check_unique(spark, sf):
     return C.check_unique(_m(spark, sf).locations_ref, ["country", "full_location"])
 
 
+#: The number by which rows are told apart in the constraint queries, each of which breaks its rule in every third row.
+ROW_KEYS = {"staging": "id", "locations": "location_id", "platforms": "platform_id", "schedule_types": "schedule_type_id",
+            "skill_categories": "category_id", "skills": "skill_id", "jobs": "job_id", "job_skills": "job_id",
+            "companies": "company_id"}
+
+
+def _third(table: str) -> F.Column:
+    return F.col(ROW_KEYS[table]) % 3 == 0
+
+
 def q_check_foreign_key(spark, sf):
-    return C.foreign_key_summary(_m(spark, sf).tables(), FOREIGN_KEY_RULES)
+    """Every third row of a child refers to a parent that does not exist."""
+    tables = _m(spark, sf).tables()
+    parts = []
+    for r in FOREIGN_KEY_RULES:
+        c = r.columns[0]
+        child = tables[r.table].withColumn(c, F.when(_third(r.table), -F.abs(F.col(c))).otherwise(F.col(c)))
+        parts.append(C.foreign_key_summary(tables | {r.table: child}, [r]))
+    return C._union(parts)
 
 
 def q_check_expression(spark, sf):
-    return C.check_summary(_m(spark, sf).tables(), CHECK_RULES)
+    """Every third posting has a rate that is not allowed."""
+    tables = _m(spark, sf).tables()
+    jobs = tables["jobs"].withColumn("salary_rate", F.when(_third("jobs"), F.lit("century")).otherwise(F.col("salary_rate")))
+    return C.check_summary(tables | {"jobs": jobs}, CHECK_RULES)
 
 
 def q_check_length(spark, sf):
-    return C.length_summary(_m(spark, sf).tables(), LENGTH_RULES)
+    """Every third text is one character too long."""
+    tables = _m(spark, sf).tables()
+    for r in LENGTH_RULES:
+        tables[r.table] = tables[r.table].withColumn(r.column, F.when(
+            _third(r.table), F.repeat(F.lit("y"), F.lit(r.length + 1))).otherwise(F.col(r.column)))
+    return C.length_summary(tables, LENGTH_RULES)
 
 
 def q_cascade_delete(spark, sf):
@@ -605,11 +670,11 @@ def q_star_bridge_skills(spark, sf):
     return H.star_bridge_skills(_m(spark, sf).bridge)
 
 
-def _customer_snapshot(orders: DataFrame, before: str) -> DataFrame:
-    """Per customer: priority and status of the last order placed before ``before``."""
+def _customer_snapshot(orders: DataFrame, before: str | None = None) -> DataFrame:
+    """Per customer: priority and status of the last order (placed before ``before``)."""
     last = F.max_by(F.struct("o_orderpriority", "o_orderstatus"), F.struct("o_orderdate", "o_orderkey"))
-    return (orders.where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
-            .groupBy(F.col("o_custkey").alias("c_custkey")).agg(last.alias("l"))
+    known = orders if before is None else orders.where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
+    return (known.groupBy(F.col("o_custkey").alias("c_custkey")).agg(last.alias("l"))
             .select("c_custkey", F.col("l.o_orderpriority").alias("last_priority"),
                     F.col("l.o_orderstatus").alias("last_status")))
 
@@ -619,7 +684,7 @@ def q_scd_dimension(spark, sf):
     current = _customer_snapshot(o, SCD_FIRST).select(
         "*", F.lit(SCD_FIRST).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current"))
-    incoming = _customer_snapshot(o, SCD_SECOND)
+    incoming = _customer_snapshot(o)
     out = SCD.scd_dimension(current, incoming, ["c_custkey"], ["last_priority", "last_status"], SCD_SECOND)
     return out.select("c_custkey", "last_priority", "last_status", F.col("valid_from").cast("string").alias("valid_from"),
                       F.col("valid_to").cast("string").alias("valid_to"), "is_current", "change")

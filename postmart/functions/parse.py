@@ -13,6 +13,7 @@ from __future__ import annotations
 import ast
 import sys
 import warnings
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -134,12 +135,53 @@ def normalize_list(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.ArrayType):
         return F.col(name).cast(STRING_LIST)
-    return F.from_json(F.col(name).cast("string"), STRING_LIST)
+    # Inside brackets, text after the value makes the whole malformed or a second item.
+    one = F.from_json(F.concat(F.lit("["), F.col(name).cast("string"), F.lit("]")), T.ArrayType(STRING_LIST))
+    return F.when(F.size(one) == 1, F.get(one, F.lit(0)))
 
 
 def encode_json(c: Column | str) -> Column:
-    """Map / array -> JSON text, NULL stays NULL."""
-    return F.to_json(_c(c))
+    """Map -> JSON text with its keys in order, so that equal maps have equal text; NULL stays NULL."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(_c(c)))))
+
+
+@F.pandas_udf(T.StringType())
+def _literal_json(cells: pd.Series) -> pd.Series:
+    out = []
+    for v in cells:
+        parsed = None if v is None else _literal(v)
+        out.append(_canonical(parsed) if isinstance(parsed, dict) else None)
+    return pd.Series(out, dtype=object)
+
+
+def _canonical(x) -> str:
+    """JSON text of a literal dict: keys in order, any value kept (tuples and sets as lists, other things as text)."""
+    import json
+
+    def plain(v):
+        if isinstance(v, dict):
+            return {k if isinstance(k, str) else json.dumps(k, default=str): plain(e) for k, e in v.items()}
+        if isinstance(v, (list, tuple)):
+            return [plain(e) for e in v]
+        if isinstance(v, (set, frozenset)):
+            return sorted((plain(e) for e in v), key=str)
+        return v
+    return json.dumps(plain(x), sort_keys=True, ensure_ascii=False, separators=(",", ":"), default=str)
+
+
+def dict_json(c: Column | str) -> Column:
+    """Python dict literal -> JSON text with the keys in order; every value keeps its type.
+
+    Empty rules as in ``parse_dict``; what is no dict literal gives NULL.
+    """
+    c = _c(c)
+    empty = c.isNull() | c.isin(EMPTY_DICT_TOKENS)
+    shape = F.coalesce(c.rlike(DICT_FAST_PATTERN), F.lit(False))
+    decoded = F.from_json(F.when(shape, _as_json(c)), SKILL_MAP)
+    keys = F.map_keys(decoded)
+    fast = shape & ~F.coalesce(F.size(keys) != F.size(F.array_distinct(keys)), F.lit(False))
+    slow_value = _literal_json(F.when(~empty & ~fast, c))
+    return F.when(empty, F.lit(None).cast("string")).when(fast, encode_json(decoded)).otherwise(slow_value)
 
 
 def tri_state_bool(c: Column | str) -> Column:
@@ -149,15 +191,18 @@ def tri_state_bool(c: Column | str) -> Column:
         F.lit(None).cast("boolean"))
 
 
-def to_timestamp(c: Column | str, fmt: str | None = None) -> Column:
+def to_timestamp(c: Column | str, fmt: str | Sequence[str] | None = None) -> Column:
     """Text -> timestamp without zone; unparseable -> NULL.
 
-    Without a format any ISO-8601 date or date-time form is accepted per cell.
+    Without a format any ISO-8601 date or date-time form is accepted per cell; several
+    formats are tried in turn.
     """
     c = _c(c)
     if fmt is None:
         return c.try_cast(T.TimestampNTZType())
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast(T.TimestampNTZType())
+    tried = [F.try_to_timestamp(c.cast("string"), F.lit(f)).cast(T.TimestampNTZType())
+             for f in ([fmt] if isinstance(fmt, str) else fmt)]
+    return F.coalesce(*tried)
 
 
 def to_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column:

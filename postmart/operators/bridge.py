@@ -40,6 +40,17 @@ def rejoin_staging(jobs: DataFrame, staging: DataFrame, match: str = "title_date
     raise ValueError(f"match must be 'title_date' or 'id', not {match!r}")
 
 
+def rejoin_groups(jobs: DataFrame, staging: DataFrame) -> DataFrame:
+    """What ``rejoin_staging`` links, per (title, date): jobs, staging rows and the pairs they make.
+
+    All pairs of a popular title and date are m x m rows; their number is a product of two counts.
+    """
+    keys = ["job_title", "job_posted_date"]
+    left = jobs.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("n_jobs"))
+    right = staging.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("n_staging"))
+    return left.join(right, keys, "inner").withColumn("n_pairs", F.col("n_jobs") * F.col("n_staging"))
+
+
 def bridge_job_skills(jobs: DataFrame, staging: DataFrame, skills: DataFrame, match: str = "title_date",
                       list_col: str = "job_skills") -> DataFrame:
     """Distinct (job_id, skill_id) pairs (J9 with the pair dedupe A6 built in).

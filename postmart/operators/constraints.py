@@ -39,7 +39,7 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, cols: Sequence[str],
     rows = child
     for c in cols:
         rows = rows.where(F.col(c).isNotNull())
-    p = parent.select(*[F.col(pc).alias(f"_p{i}") for i, pc in enumerate(parent_cols)]).distinct()
+    p = parent.select(*[F.col(pc).alias(f"_p{i}") for i, pc in enumerate(parent_cols)])
     cond = [F.col(c) == F.col(f"_p{i}") for i, c in enumerate(cols)]
     return rows.join(p, cond, "left_anti")
 
@@ -56,21 +56,47 @@ def check_length(df: DataFrame, col: str, max_len: int) -> DataFrame:
 
 def cascade_delete(child: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
     """Child rows left after deleting the parents in ``deleted`` (ON DELETE CASCADE)."""
-    return child.join(deleted.select(key).distinct(), key, "left_anti")
+    return child.join(deleted.select(key), key, "left_anti")
+
+
+def _by_table(tables: dict[str, DataFrame], rules) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for r in rules:
+        if r.table in tables:
+            out.setdefault(r.table, []).append(r)
+    return out
 
 
 def length_summary(tables: dict[str, DataFrame], rules) -> DataFrame:
-    """One row per VARCHAR(n) rule: (table_name, column_name, max_length, violations)."""
+    """One row per VARCHAR(n) rule: (table_name, column_name, max_length, violations); one pass per table."""
     parts = []
-    for r in rules:
-        if r.table not in tables:
-            continue
-        agg = tables[r.table].agg(F.count_if(F.length(r.column) > r.length).cast("long").alias("violations"))
-        parts.append(agg.select(F.lit(r.table).alias("table_name"), F.lit(r.column).alias("column_name"),
-                                F.lit(r.length).cast("long").alias("max_length"), "violations"))
+    for table, own in _by_table(tables, rules).items():
+        one = tables[table].agg(*[F.count_if(F.length(r.column) > r.length).cast("long").alias(f"v{i}")
+                                  for i, r in enumerate(own)])
+        rows = [F.struct(F.lit(table).alias("table_name"), F.lit(r.column).alias("column_name"),
+                         F.lit(r.length).cast("long").alias("max_length"), F.col(f"v{i}").alias("violations"))
+                for i, r in enumerate(own)]
+        parts.append(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
     return _union(parts)
 
 
+def broken(rule) -> Column:
+    """Rows that break a NOT NULL, length or allowed-values rule."""
+    c = F.col(rule.column)
+    if hasattr(rule, "length"):
+        return F.coalesce(F.length(c) > rule.length, F.lit(False))
+    if hasattr(rule, "values"):
+        return c.isNotNull() & ~c.isin(list(rule.values))
+    return c.isNull()
+
+
+def row_violations(df: DataFrame, rules: dict[str, object]) -> dict[str, int]:
+    """Violations of each named row rule, counted in one pass over the table (and its rows as ``rows``)."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(broken(r)).alias(f"v{i}")
+                                                    for i, r in enumerate(rules.values())]).first()
+    return {"rows": int(row["rows"])} | {name: int(row[f"v{i}"]) for i, name in enumerate(rules)}
+
+
 def foreign_key_summary(tables: dict[str, DataFrame], rules) -> DataFrame:
     """One row per foreign key: (table_name, column_name, parent_table, violations)."""
     parts = []

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, fresh_dir
+from ..session import fresh_dir
 
 _PID = "__pm_pid"
 _POS = "__pm_pos"
@@ -29,14 +29,13 @@ def _order_exprs(order_cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], out: str, start: int = 1,
-              partitions: int | None = None, materialize: str = "parquet") -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Add ``out`` = start, start+1, ... following ``order_cols`` (ascending, NULLs first).
 
     The order columns must identify rows uniquely; otherwise ties are numbered in an
     unspecified order. The range shuffle uses ``partitions`` or else
     ``spark.sql.shuffle.partitions`` (AQE may merge small neighbours, which keeps the
-    order). ``materialize``: ``"parquet"`` (a written table, the default) or
-    ``"checkpoint"`` (Spark's reliable checkpoint).
+    order).
     """
     spark = df.sparkSession
     order = _order_exprs(order_cols)
@@ -46,15 +45,9 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], out: str, start
     # monotonically_increasing_id = (partition index << 33) + position in the partition.
     tagged = ranged.withColumn(_PID, pid).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    if materialize == "parquet":
-        path = fresh_dir(spark, "keys")
-        tagged.write.parquet(path)
-        tagged = spark.read.parquet(path)
-    elif materialize == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        tagged = tagged.checkpoint(eager=True)
-    else:
-        raise ValueError("materialize must be 'parquet' or 'checkpoint'")
+    path = fresh_dir(spark, "keys")
+    tagged.write.parquet(path)
+    tagged = spark.read.parquet(path)
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__pm_n"))
     # One row per partition: a window without partitioning over n rows is cheap.
     offsets = counts.select(

@@ -1,8 +1,9 @@
 """Ordering, paging and heads.
 
 A load never pages: each table is one distributed write. ``page`` and ``head_n`` are
-for readers; Spark plans ORDER BY + OFFSET + LIMIT as a per-task top-(offset+limit)
-followed by one small merge, so only offset+limit rows per task move.
+for readers. Near the front Spark plans ORDER BY + OFFSET + LIMIT as a per-task
+top-(offset+limit) and one small merge; a page farther out is cut by position from the
+range-partitioned order, so no task ever sorts all rows before it.
 """
 
 from __future__ import annotations
@@ -12,14 +13,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import dense_key
+
 
 def order_by(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Global ascending order, NULLs first (a range-partitioned sort)."""
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols])
 
 
+def positions(df: DataFrame, cols: Sequence[str], out: str = "position") -> DataFrame:
+    """The place of each row in the order, from 1, without a global window."""
+    return dense_key(df, list(cols), out)
+
+
+#: Rows up to which a page is taken by a top-k.
+NEAR_FRONT = 100_000
+
+
 def page(df: DataFrame, order_cols: Sequence[str], limit: int, offset: int = 0) -> DataFrame:
     """Rows offset+1 .. offset+limit of the ordered frame."""
+    if offset + limit > NEAR_FRONT:
+        at = positions(df, order_cols, "_position")
+        return at.where((F.col("_position") > offset) & (F.col("_position") <= offset + limit)).drop("_position")
     ordered = order_by(df, order_cols)
     return (ordered.offset(offset) if offset else ordered).limit(limit)
 

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import EMPTY_DICT_TOKENS, EMPTY_LIST_TOKENS, RAW_COLUMNS, SALARY_RATES
+from ..functions.parse import parse_dict, parse_list
+from ..schemas import EMPTY_DICT_TOKENS, EMPTY_LIST_TOKENS, MONEY, RAW_COLUMNS, SALARY_RATES
 
 # ---------------------------------------------------------------------------
 # V1-V4: schema rules and the gate
@@ -28,6 +29,14 @@ class Typed:
     dtype: T.DataType
 
 
+@dataclass(frozen=True)
+class Fits:
+    """Numbers must fit decimal(precision, scale); what is no number is left to Typed (NULL passes)."""
+    column: str
+    precision: int
+    scale: int
+
+
 @dataclass(frozen=True)
 class IsIn:
     """Values must be one of ``values`` (NULL passes)."""
@@ -47,16 +56,28 @@ def posting_rules() -> list:
     return [
         Typed("salary_year_avg", T.DoubleType()),
         Typed("salary_hour_avg", T.DoubleType()),
+        Fits("salary_year_avg", MONEY.precision, MONEY.scale),
+        Fits("salary_hour_avg", MONEY.precision, MONEY.scale),
         IsIn("salary_rate", tuple(SALARY_RATES)),
         Min("salary_year_avg", 0.0),
         Min("salary_hour_avg", 0.0),
     ]
 
 
+#: Text that is a number: Spark's cast also takes Java's type suffixes, as in 1.0d or 5f.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+
+
 def _failing(rule) -> tuple[str, Column]:
     c = F.col(rule.column)
     if isinstance(rule, Typed):
-        return "coerce_dtype", c.isNotNull() & c.try_cast(rule.dtype).isNull()
+        bad = c.try_cast(rule.dtype).isNull()
+        if isinstance(rule.dtype, T.NumericType):
+            bad = bad | ~c.cast("string").rlike(NUMBER)
+        return "coerce_dtype", c.isNotNull() & bad
+    if isinstance(rule, Fits):
+        fits = c.try_cast(T.DecimalType(rule.precision, rule.scale))
+        return "numeric_range", F.coalesce(c.cast("string").rlike(NUMBER), F.lit(False)) & fits.isNull()
     if isinstance(rule, IsIn):
         return "isin", c.isNotNull() & ~c.isin(list(rule.values))
     if isinstance(rule, Min):
@@ -120,13 +141,13 @@ def failure_summary(df: DataFrame, rules: Sequence, required: Sequence[str] = RA
 def gate(failures: DataFrame) -> tuple[bool, str | None]:
     """Stop-the-load decision (V4): passes when no failing row exists.
 
-    Only a bounded sample of failures reaches the driver, to name the failing columns.
+    All failing cells are reduced to their distinct (check, column) pairs before anything
+    reaches the driver, so every failing column is named and the result is bounded by the rules.
     """
-    sample = failures.select("check", "column_name").limit(1000).distinct().collect()
-    if not sample:
+    found = failures.select("check", "column_name").distinct().collect()
+    if not found:
         return True, None
-    names = sorted({f"{r['column_name']} ({r['check']})" for r in sample})
-    return False, "Schema validation failed: " + ", ".join(names)
+    return False, "postings break the rules for " + ", ".join(sorted(f"{r['column_name']} ({r['check']})" for r in found))
 
 
 # ---------------------------------------------------------------------------
@@ -184,21 +205,32 @@ def data_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def data_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Per column: type, NULL count, NULL % (1 decimal), distinct count; plus the shape.
 
-    One aggregation computes every count; the result has one row per column and
-    carries ``n_rows`` / ``n_columns`` on each row.
+    Values are unpivoted to (column number, text) and counted per distinct value, which
+    combines before the shuffle; a wide aggregate of exact distinct counts would copy every
+    row once per column and keep all of it. ``exact=False`` needs no shuffle of values.
     """
-    f = F.count_distinct if exact else F.approx_count_distinct
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}"), f(F.col(c)).alias(f"u{i}")]
-    one = df.agg(*aggs)
-    rows = [F.struct(
-        F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
-        F.col(f"n{i}").cast("long").alias("null_count"),
-        _half_up_pct(F.col(f"n{i}"), F.col("_total"), 1).alias("null_pct"),
-        F.col(f"u{i}").cast("long").alias("unique_count")) for i, c in enumerate(cols)]
-    return one.select(F.col("_total").cast("long").alias("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_columns"),
-                      F.explode(F.array(*rows)).alias("r")).select("r.*", "n_rows", "n_columns")
+    n_columns = F.lit(len(df.columns)).cast("long").alias("n_columns")
+    names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name"),
+                               F.lit(df.schema[c].dataType.simpleString()).alias("data_type"))
+                      for i, c in enumerate(cols)))
+    # -0.0 equals 0.0 and all NaN are one value, in text too.
+    cells = F.array(*(F.struct(F.lit(i).alias("i"), (F.col(c) + 0.0 if isinstance(df.schema[c].dataType, T.FractionalType)
+                                                    and not isinstance(df.schema[c].dataType, T.DecimalType)
+                                                    else F.col(c)).cast("string").alias("v")) for i, c in enumerate(cols)))
+    long = df.select(F.explode(cells).alias("c")).select("c.i", "c.v")
+    if exact:
+        values = long.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = values.groupBy("i").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("nulls"),
+                                         F.count("v").alias("distinct"))
+    else:
+        counts = long.groupBy("i").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("v").isNull()).alias("nulls"),
+                                       F.approx_count_distinct("v").alias("distinct"))
+    declared = df.sparkSession.range(1).select(F.explode(names).alias("d")).select("d.*")
+    total, nulls = F.coalesce("total", F.lit(0)), F.coalesce("nulls", F.lit(0))
+    return declared.join(counts, "i", "left").select(
+        "column_name", "data_type", nulls.cast("long").alias("null_count"),
+        _half_up_pct(nulls, total, 1).alias("null_pct"),
+        F.coalesce("distinct", F.lit(0)).cast("long").alias("unique_count"), total.cast("long").alias("n_rows"), n_columns)
 
 
 # ---------------------------------------------------------------------------
@@ -206,72 +238,40 @@ def data_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 # ---------------------------------------------------------------------------
 
 
-def _head_bound(df: DataFrame, present: Column, id_col: str, head: int):
-    """Largest id among the first ``head`` present cells (a per-task top-k, one scalar back)."""
-    row = df.where(present).select(id_col).orderBy(F.col(id_col).asc()).limit(head) \
-        .agg(F.max(id_col).alias("b")).first()
-    return None if row is None else row["b"]
-
+def _present(raw_col: str, tokens: Sequence[str]) -> Column:
+    return F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(list(tokens))
 
-def _in_head(df: DataFrame, present: Column, id_col: str, head: int | None) -> Column:
-    """Condition for the first ``head`` present cells by id (``head=None``: every present cell)."""
-    if head is None:
-        return present
-    bound = _head_bound(df, present, id_col, head)
-    return present & (F.col(id_col) <= F.lit(bound)) if bound is not None else F.lit(False)
 
-
-def list_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int | None = 10, samples: int = 3,
-                   sample_items: int = 3, parse=None) -> DataFrame:
-    """List-column check: totals over all rows, valid / invalid over the first ``head`` cells.
+def list_structure(df: DataFrame, raw_col: str, parse=parse_list) -> DataFrame:
+    """List-column check over all rows: present, valid and invalid cells, and NULL items.
 
     A cell is present when its raw text is not missing nor an empty-list token; it is
-    valid when it parses into a list. ``parse_failures`` counts invalid cells over all
-    rows. The first ``head`` cells are found by a top-k on id; then one aggregation pass
-    parses every cell once and computes all counts. ``sample_values`` shows the first
-    ``samples`` valid lists, each cut to ``sample_items`` (collected from at most ``head`` rows).
+    valid when it parses into a list. Every present cell is parsed once.
     """
-    from ..functions.parse import parse_list
-    parse = parse or parse_list
-    present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_LIST_TOKENS)
-    in_head = _in_head(df, present, id_col, head)
     valid = F.col("_p").isNotNull()
-    # Samples: only the first ``samples`` valid lists are kept (a bounded top-k per task).
-    sample = F.when(in_head & valid, F.struct(F.col(id_col).alias("i"), F.slice("_p", 1, sample_items).alias("v")))
-    first = df.select(id_col, raw_col, parse(raw_col).alias("_p")).where(in_head & valid) \
-        .select(sample.alias("s")).orderBy(F.col("s.i")).limit(samples)
-    bound_sample = first.agg(F.array_sort(F.collect_list("s")).alias("_s"))
-    out = df.select(id_col, raw_col, parse(raw_col).alias("_p")).agg(
-        F.count_if(present).cast("long").alias("total_non_null"),
-        F.count_if(present & ~valid).cast("long").alias("parse_failures"),
-        F.count_if(in_head & valid).cast("long").alias("valid_lists"),
-        F.count_if(in_head & ~valid).cast("long").alias("invalid"),
+    return df.where(_present(raw_col, EMPTY_LIST_TOKENS)).select(parse(raw_col).alias("_p")).agg(
+        F.count(F.lit(1)).cast("long").alias("total_non_null"),
+        F.count_if(valid).cast("long").alias("valid_lists"),
+        F.count_if(~valid).cast("long").alias("invalid"),
         F.coalesce(F.sum(F.size(F.filter("_p", lambda x: x.isNull()))), F.lit(0)).cast("long").alias("null_items"))
-    s_row = bound_sample.first()
-    samples_text = " | ".join(",".join(x if x is not None else "None" for x in r["v"]) for r in (s_row["_s"] or [])) \
-        if s_row else ""
-    return out.select("total_non_null", "parse_failures", "valid_lists", "invalid", "null_items",
-                      F.lit(samples_text or None).cast("string").alias("sample_values"))
 
 
-def dict_structure(df: DataFrame, raw_col: str, id_col: str = "id", head: int | None = 100,
-                   parse=None) -> DataFrame:
-    """Dict-column check: as ``list_structure``; keys of the first ``head`` valid dicts, sorted.
+def list_samples(df: DataFrame, raw_col: str, n: int, id_col: str = "id", parse=parse_list) -> DataFrame:
+    """The first ``n`` valid lists by id, for a reader: (id, items). The limit is the feature."""
+    return (df.where(_present(raw_col, EMPTY_LIST_TOKENS)).select(id_col, parse(raw_col).alias("items"))
+            .where("items IS NOT NULL").orderBy(id_col).limit(n))
 
-    Keys are exploded and de-duplicated as a distributed distinct; only the distinct key
-    vocabulary comes back to be joined into one text value.
-    """
-    from ..functions.parse import parse_dict
-    parse = parse or parse_dict
-    present = F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(EMPTY_DICT_TOKENS)
-    in_head = _in_head(df, present, id_col, head)
+
+def dict_structure(df: DataFrame, raw_col: str, parse=parse_dict) -> DataFrame:
+    """Dict-column check over all rows: present, valid and invalid cells (see ``dict_categories`` for keys)."""
     valid = F.col("_p").isNotNull()
-    parsed = df.select(id_col, raw_col, parse(raw_col).alias("_p"))
-    keys = parsed.where(in_head & valid).select(F.explode(F.map_keys("_p")).alias("k")).distinct()
-    names = sorted(r["k"] for r in keys.collect())
-    return parsed.agg(
-        F.count_if(present).cast("long").alias("total_non_null"),
-        F.count_if(present & ~valid).cast("long").alias("parse_failures"),
-        F.count_if(in_head & valid).cast("long").alias("valid_dicts"),
-        F.count_if(in_head & ~valid).cast("long").alias("invalid"),
-        F.lit(",".join(names) or None).cast("string").alias("sample_categories"))
+    return df.where(_present(raw_col, EMPTY_DICT_TOKENS)).select(parse(raw_col).alias("_p")).agg(
+        F.count(F.lit(1)).cast("long").alias("total_non_null"),
+        F.count_if(valid).cast("long").alias("valid_dicts"),
+        F.count_if(~valid).cast("long").alias("invalid"))
+
+
+def dict_categories(df: DataFrame, raw_col: str, parse=parse_dict) -> DataFrame:
+    """Every key of the valid dicts with the number of cells that hold it: (category, n_cells)."""
+    return (df.where(_present(raw_col, EMPTY_DICT_TOKENS)).select(F.explode(F.map_keys(parse(raw_col))).alias("category"))
+            .groupBy("category").agg(F.count(F.lit(1)).cast("long").alias("n_cells")))

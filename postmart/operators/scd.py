@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def attribute_hash(cols: Sequence[str], prefix: str = "") -> Column:
-    """Change detector over the tracked attributes (NULL-aware)."""
-    parts = [F.coalesce(F.col(f"{prefix}{c}").cast("string"), F.lit("\u0000")) for c in cols]
-    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+def same_attributes(cols: Sequence[str], left: str, right: str) -> Column:
+    """No tracked attribute differs; NULL equals NULL."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}"))
+    return out
 
 
 def scd_dimension(current: DataFrame, incoming: DataFrame, natural_key: Sequence[str], tracked: Sequence[str],
@@ -40,7 +42,7 @@ def scd_dimension(current: DataFrame, incoming: DataFrame, natural_key: Sequence
     j = cur.join(new, nk, "full_outer")
     in_cur = F.col("c_from").isNotNull()
     in_new = F.col("_in").isNotNull()
-    same = attribute_hash(tr, "c_") == attribute_hash(tr, "n_")
+    same = same_attributes(tr, "c_", "n_")
 
     def version(prefix, vfrom, vto, is_current, change):
         return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in tr], vfrom.alias("valid_from"),

@@ -25,8 +25,9 @@ from ..operators import dimensions as D
 from ..operators import facts as FX
 from ..operators import keys as K
 from ..operators import quality as Q
-from ..schemas import NOT_NULL_RULES, UNIQUE_RULES
-from ..session import scratch_under
+from ..schemas import (CHECK_RULES, FOREIGN_KEY_RULES, KEY_COLUMNS, LENGTH_RULES, NOT_NULL_RULES, PRIMARY_KEY_RULES,
+                       REFRESH_ORDER, SEMI_STRUCTURED, UNIQUE_RULES, AllowedValues, MaxLength, NotNull)
+from ..session import fresh_dir, scratch_under
 from ..sources import ingest as I
 from ..sources import tables as TB
 
@@ -38,15 +39,37 @@ class LoadReport:
     message: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
     violations: dict[str, int] = field(default_factory=dict)
+    lost: dict[str, int] = field(default_factory=dict)       # cells that coercion turned into NULL
+    quality: str | None = None                               # folder of the quality report, one table per metric
 
 
-def read_postings_csv(spark: SparkSession, path: str, base: str | None = None, multiline: bool = True) -> DataFrame:
-    """CSV -> converted raw postings with ids continuing after the staged ones."""
+def read_postings_csv(spark: SparkSession, path: str, base: str | None = None, multiline: bool = False) -> DataFrame:
+    """CSV -> converted raw postings with ids continuing after the staged ones.
+
+    The numbered text is landed once as Parquet, so that the gate, the quality report and
+    staging read that instead of parsing the files again.
+    """
     start = 1
     if base is not None and TB.staging_exists(spark, base):
         start = K.max_key(TB.read_table(spark, base, "staging"), "id") + 1
+    landed = fresh_dir(spark, "landed")
     # Ids first (no shuffle of the rows), then the literal cells are parsed once.
-    return I.parse_cells(I.arrival_ids(I.scan_csv(spark, path, multiline=multiline), "id", start))
+    I.parse_cells(I.arrival_ids(I.scan_csv(spark, path, multiline=multiline), "id", start)).write.parquet(landed)
+    return spark.read.parquet(landed)
+
+
+def quality_report(raw: DataFrame, path: str) -> None:
+    """Write the quality metrics of a load (V5-V8, V12 and the structure of the skill cells) under ``path``."""
+    plain = [c for c in raw.columns if c not in SEMI_STRUCTURED and c != "id"]
+    metrics = {
+        "row_count": lambda: Q.row_count(raw),
+        "duplicate_rows": lambda: Q.duplicate_rows(raw, plain),
+        "missing_values": lambda: Q.missing_values(raw, plain),
+        "unique_values": lambda: Q.unique_values(raw, [c for c in KEY_COLUMNS if c in raw.columns]),
+        "data_profile": lambda: Q.data_profile(raw, plain),
+    }
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda m: m[1]().write.mode("overwrite").parquet(f"{path}/{m[0]}"), metrics.items()))
 
 
 def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "title_date",
@@ -81,40 +104,65 @@ def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "titl
             "jobs": jobs, "job_skills": bridge}
 
 
-def violation_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Violations per NOT NULL / UNIQUE rule: one aggregation per table for NOT NULL,
-    one grouped count per UNIQUE rule."""
-    out: dict[str, int] = {}
-    by_table: dict[str, list[str]] = {}
-    for r in NOT_NULL_RULES:
-        if r.table in tables:
-            by_table.setdefault(r.table, []).append(r.column)
-    for table, cols in by_table.items():
-        row = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-        out.update({f"not_null:{table}.{c}": int(row[c]) for c in cols})
-    for r in UNIQUE_RULES:
-        if r.table in tables:
-            dup = C.check_unique(tables[r.table], r.columns, r.nulls_distinct)
-            out[f"unique:{r.table}({','.join(r.columns)})"] = int(dup.count())
-    return out
+ROW_RULES = [*NOT_NULL_RULES, *LENGTH_RULES, *CHECK_RULES]
+ROW_RULE_NAMES = {NotNull: "not_null", MaxLength: "length", AllowedValues: "check"}
 
 
-def quarantine_jobs(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Drop postings that break a NOT NULL rule of ``jobs`` and cascade to the bridge."""
-    cols = [r.column for r in NOT_NULL_RULES if r.table == "jobs"]
-    broken = F.lit(False)
-    for c in cols:
-        broken = broken | F.col(c).isNull()
-    jobs = tables["jobs"]
-    dropped = jobs.where(broken).select("job_id")
-    out = dict(tables)
-    out["jobs"] = jobs.where(~broken)
-    out["job_skills"] = C.cascade_delete(tables["job_skills"], dropped, "job_id")
+def _row_rules(table: str) -> dict[str, object]:
+    return {f"{ROW_RULE_NAMES[type(r)]}:{table}.{r.column}": r for r in ROW_RULES if r.table == table}
+
+
+def violation_counts(tables: dict[str, DataFrame], counts: dict[str, int] | None = None) -> dict[str, int]:
+    """Violations of every rule of the schema: one pass per table for NOT NULL, lengths and allowed
+    values (with the row count, put into ``counts``), a grouped count per UNIQUE or primary key, an
+    anti join per foreign key. The checks are submitted together."""
+    found: dict[str, int] = {}
+    tasks = []
+    for table, df in tables.items():
+        tasks.append(lambda table=table, df=df: (table, C.row_violations(df, _row_rules(table))))
+    for r in [*UNIQUE_RULES, *PRIMARY_KEY_RULES]:
+        if r.table in tables:
+            tasks.append(lambda r=r: (None, {f"unique:{r.table}({','.join(r.columns)})": C.check_unique(
+                tables[r.table], r.columns, r.nulls_distinct).count()}))
+    for r in FOREIGN_KEY_RULES:
+        if r.table in tables and r.parent in tables:
+            tasks.append(lambda r=r: (None, {f"foreign_key:{r.table}({','.join(r.columns)})": C.check_foreign_key(
+                tables[r.table], tables[r.parent], r.columns, r.parent_columns).count()}))
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for table, got in pool.map(lambda t: t(), tasks):
+            if table is not None:
+                rows = got.pop("rows")
+                if counts is not None:
+                    counts[table] = rows
+            found.update(got)
+    return found
+
+
+def quarantine(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(kept, dropped) rows of each table: those that break a row rule go, parents first, and rows
+    that refer to a dropped parent go with it."""
+    out, dropped = dict(tables), {}
+    for table in reversed(REFRESH_ORDER):
+        if table not in out:
+            continue
+        bad = F.lit(False)
+        for rule in _row_rules(table).values():
+            bad = bad | C.broken(rule)
+        rows = out[table].withColumn("_bad", bad)
+        for r in FOREIGN_KEY_RULES:
+            if r.table == table and r.parent in dropped:
+                gone = dropped[r.parent].select(*[F.col(p).alias(c) for p, c in zip(r.parent_columns, r.columns)],
+                                                F.lit(True).alias("_gone"))
+                rows = rows.join(gone, list(r.columns), "left").withColumn(
+                    "_bad", F.col("_bad") | F.coalesce("_gone", F.lit(False))).drop("_gone")
+        columns = out[table].columns
+        out[table] = rows.where(~F.col("_bad")).select(*columns)
+        dropped[table] = rows.where("_bad").select(*columns)
     return out, dropped
 
 
 def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, run_id: str,
-                           on_violation: str, **opts) -> LoadReport:
+                           on_violation: str, rebuilt_staging: bool = False, **opts) -> LoadReport:
     """Build, (optionally quarantine), write once into the run folder, check, then publish.
 
     Intermediate tables of the build (surrogate-key tags) go under the run's ``_work``
@@ -122,32 +170,50 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
     """
     with scratch_under(spark, f"{TB.run_path(base, run_id)}/_work"):
         tables = build_3nf(staging, **opts)
-        quarantined = 0
+        viol = {}
         if on_violation == "quarantine":
-            tables, dropped = quarantine_jobs(tables)
-            quarantined = dropped.count()
+            for name, df in tables.items():     # the keys of a build are written; fix the rows too before they are split
+                path = f"{TB.run_path(base, run_id)}/_work/built/{name}"
+                df.write.mode("overwrite").parquet(path)
+                tables[name] = spark.read.parquet(path)
+            tables, dropped = quarantine(tables)
+            viol = {f"quarantined:{name}": n for name, n in ((k, d.count()) for k, d in dropped.items()) if n}
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         TB.write_tables(tables, base, run_id, run_ts)
     written = {name: TB.read_table(spark, base, name, run_id) for name in tables}
-    bad = {k: n for k, n in violation_counts(written).items() if n}
+    counts: dict[str, int] = {}
+    # Staging is held to its own limits, except where a quarantine has dropped what broke them.
+    checked = written if on_violation == "quarantine" else {"staging": staging, **written}
+    bad = {k: n for k, n in violation_counts(checked, counts).items() if n}
+    counts.pop("staging", None)
     if bad:
         return LoadReport(False, run_id, "constraint violations: " + ", ".join(sorted(bad)), violations=bad)
-    TB.publish(spark, base, run_id)
-    counts = {name: df.count() for name, df in written.items()}
-    viol = {"quarantined:jobs": quarantined} if quarantined else {}
+    TB.publish(spark, base, run_id, rebuilt_staging)
     return LoadReport(True, run_id, None, counts, viol)
 
 
 def run_full(spark: SparkSession, csv_path: str, base: str, on_violation: str = "fail",
-             multiline: bool = True, **opts) -> LoadReport:
+             multiline: bool = False, date_format: str | list[str] | None = None, report: bool = True,
+             **opts) -> LoadReport:
+    """L1. With ``report`` the quality metrics are written to the run folder before the gate decides."""
     run_id = TB.new_run_id()
-    raw = read_postings_csv(spark, csv_path, None, multiline)
+    run = TB.run_path(base, run_id)
+    with scratch_under(spark, f"{run}/_work"):
+        raw = read_postings_csv(spark, csv_path, None, multiline)
+    quality = None
+    if report:
+        quality = f"{run}/_quality"
+        quality_report(raw, quality)
+    lost = I.lost_cells(raw, date_format)
     ok, message = Q.gate(Q.find_failures(raw, Q.posting_rules()))
     if not ok:
-        return LoadReport(False, None, message)
-    # A full run rebuilds staging from this file (ids from 1), only once the file passed the gate.
-    TB.append_staging(I.stage(raw), base, batch=run_id, replace_all=True)
-    return _transform_and_publish(spark, TB.read_table(spark, base, "staging"), base, run_id, on_violation, **opts)
+        return LoadReport(False, None, message, lost=lost, quality=quality)
+    # A full run rebuilds staging from this file (ids from 1); readers see it when the run is published.
+    TB.append_staging(I.stage(raw, date_format), base, batch=run_id, rebuild=True)
+    out = _transform_and_publish(spark, TB.read_table(spark, base, "staging", run_id), base, run_id, on_violation,
+                                 rebuilt_staging=True, **opts)
+    out.lost, out.quality = lost, quality
+    return out
 
 
 def run_transform_only(spark: SparkSession, base: str, on_violation: str = "fail", **opts) -> LoadReport:
@@ -155,6 +221,9 @@ def run_transform_only(spark: SparkSession, base: str, on_violation: str = "fail
     return _transform_and_publish(spark, TB.read_table(spark, base, "staging"), base, run_id, on_violation, **opts)
 
 
-def run_ingest_only(spark: SparkSession, csv_path: str, base: str, multiline: bool = True) -> str:
-    raw = read_postings_csv(spark, csv_path, base, multiline)
-    return TB.append_staging(I.stage(raw), base)
+def run_ingest_only(spark: SparkSession, csv_path: str, base: str, multiline: bool = False,
+                    date_format: str | list[str] | None = None) -> str:
+    batch = TB.new_run_id()
+    with scratch_under(spark, f"{base.rstrip('/')}/_work/{batch}"):
+        raw = read_postings_csv(spark, csv_path, base, multiline)
+    return TB.append_staging(I.stage(raw, date_format), base, batch=batch)

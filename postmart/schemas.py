@@ -198,6 +198,12 @@ UNIQUE_RULES = [
     Unique("job_skills", ("job_id", "skill_id")),
 ]
 
+PRIMARY_KEY_RULES = [
+    Unique("companies", ("company_id",)), Unique("locations", ("location_id",)), Unique("platforms", ("platform_id",)),
+    Unique("schedule_types", ("schedule_type_id",)), Unique("skill_categories", ("category_id",)),
+    Unique("skills", ("skill_id",)), Unique("jobs", ("job_id",)),
+]
+
 FOREIGN_KEY_RULES = [
     ForeignKey("skills", ("category_id",), "skill_categories", ("category_id",)),
     ForeignKey("jobs", ("company_id",), "companies", ("company_id",)),

@@ -12,26 +12,34 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "postmart", cpus: int | str = "*", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the operators are tuned for."""
-    parts = shuffle_partitions or (8 if cpus == "*" else max(int(cpus), 1))
+    """Build (or reuse) a session with the settings the operators are tuned for.
+
+    Under spark-submit, which names a master, the cluster's own master, memory and number of
+    shuffle partitions stay as they are.
+    """
+    builder = SparkSession.builder.appName(app)
+    if not SparkConf().contains("spark.master"):
+        parts = shuffle_partitions or (8 if cpus == "*" else max(int(cpus), 1))
+        builder = (builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(parts))
+                   .config("spark.driver.memory", "16g"))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -53,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="postmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

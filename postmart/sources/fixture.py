@@ -41,7 +41,12 @@ def order_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    joined = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    joined = li.join(part, li.l_partkey == part.p_partkey, "inner").select("l_orderkey", "p_name", "p_type", "p_size")
+    # A skill that no dict mentions, for every eleventh order.
+    extra = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 11 == 0).select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("p_name"),
+        F.lit(None).cast("string").alias("p_type"), F.lit(99).alias("p_size"))
+    joined = joined.unionByName(extra)
     grouped = joined.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.collect_list(F.struct("p_type", "p_name", "p_size")).alias("_items"))
     small = F.filter("_items", lambda x: x["p_size"] < 25)

@@ -11,35 +11,46 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import (encode_json, normalize_list, null_tokens, parse_dict, parse_list,
+from ..functions.parse import (dict_json, encode_json, normalize_list, null_tokens, parse_list,
                                to_decimal, to_timestamp, tri_state_bool)
 from ..operators.keys import dense_key
 from ..schemas import FLAG_COLUMNS, PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTURED, STAGING_SCHEMA
+from ..session import fresh_dir
+
+
+def csv_reader(reader, columns: list[str], multiline: bool):
+    """The one way posting CSV files are read, by a batch or a stream: text cells, strict headers.
+
+    Every file's header must hold ``columns`` in this order; a file with another header stops
+    the read instead of being mapped by position. Without ``multiline`` files split into many
+    tasks, and a record that does not have all cells (as the parts of a cell with a line
+    break) stops the read too.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return (reader.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", multiline)
+            .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("columnPruning", False).option("mode", "PERMISSIVE" if multiline else "FAILFAST"))
 
 
 def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-             tokens: list[str] | None = None, multiline: bool = True, with_source: bool = True,
+             tokens: list[str] | None = None, multiline: bool = False, with_source: bool = True,
              extra: str = "drop") -> DataFrame:
     """Read posting CSV files as text (S1) and null the missing tokens.
 
-    Columns are matched by header name, as the source's reader does (Spark maps a
-    user schema by position). No type inference pass: every cell is text. Columns not
-    in ``columns`` are dropped (``extra="drop"``) or rejected (``extra="error"``);
-    missing ones stay absent so the schema check reports them.
-    ``multiline=True`` allows quoted line breaks but reads each file in one task; use
-    ``False`` for large files without embedded newlines so they split. Converter
-    columns (the list / dict cells) keep their raw text: their parser decides.
-    With ``with_source`` the file path and block start are kept for ``create_row_id``.
+    Columns are matched by header name. All files of ``path`` must have the same header (see
+    ``csv_reader``). No type inference pass: every cell is text. Columns not in ``columns`` are
+    dropped (``extra="drop"``) or rejected (``extra="error"``); missing ones stay absent so the
+    schema check reports them. ``multiline=True`` allows quoted line breaks but reads each file
+    in one task. Converter columns (the list / dict cells) keep their raw text: their parser
+    decides. With ``with_source`` the file path and block start are kept for ``create_row_id``.
     """
     cols = columns or RAW_COLUMNS
-    df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline)
-          .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False).option("mode", "PERMISSIVE").csv(path))
-    extras = [c for c in df.columns if c not in cols]
+    header = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path).columns
+    extras = [c for c in header if c not in cols]
     if extras and extra == "error":
         raise ValueError(f"unexpected columns in {path}: {extras}")
-    keep = [c for c in cols if c in df.columns]
-    df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep])
+    keep = [c for c in cols if c in header]
+    df = csv_reader(spark.read, header, multiline).csv(path).select(*[F.col(f"`{c}`") for c in keep])
     if with_source:
         df = df.withColumns({"_src_file": F.col("_metadata.file_path"),
                              "_src_block": F.col("_metadata.file_block_start"),
@@ -48,21 +59,29 @@ def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     return null_tokens(df, plain, PANDAS_NA_TOKENS if tokens is None else tokens)
 
 
+#: Splits up to which their offsets (about 32 bytes each) are broadcast; beyond, the join is a shuffle.
+MOST_BROADCAST_SPLITS = 200_000
+
+
 def arrival_ids(df: DataFrame, out: str = "id", start: int = 1) -> DataFrame:
     """Ids rising in arrival order - file, split, line - without shuffling the rows.
 
     The rows of one input split are read in order by one task, so their
     ``monotonically_increasing_id`` values are consecutive. One small aggregation gives
-    each split its row count and first position; running offsets over the splits turn
-    each row's position inside its split into a global rank. The offsets table has one
-    row per split (input size / split size, about 32 bytes each: the file path travels
-    as a 64-bit hash), which bounds the broadcast; two paths sharing a hash stop the job
-    instead of being numbered wrongly.
+    each split its row count and first position, written to the shared folder; running
+    offsets over the splits turn each row's position inside its split into a global rank.
+    The offsets have one row per split (about 32 bytes: the file path travels as a 64-bit
+    hash) and are broadcast only when counted to be few; two paths sharing a hash stop
+    the job instead of being numbered wrongly.
     """
     rows = df.withColumn("_src_fh", F.xxhash64("_src_file"))
     split = ["_src_fh", "_src_block"]
     per_split = rows.groupBy("_src_file", "_src_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_src_pos").alias("_first"))
+    path = fresh_dir(df.sparkSession, "splits")
+    per_split.write.parquet(path)
+    per_split = df.sparkSession.read.parquet(path)
+    few = per_split.count() <= MOST_BROADCAST_SPLITS
     before = Window.orderBy(F.col("_src_file").asc(), F.col("_src_block").asc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     ranked = per_split.select(F.xxhash64("_src_file").alias("_src_fh"), "_src_block", "_first",
@@ -72,7 +91,7 @@ def arrival_ids(df: DataFrame, out: str = "id", start: int = 1) -> DataFrame:
     # assert_true yields NULL when the check holds; filtering on it keeps it in the plan.
     offsets = unique.where(F.assert_true(F.col("_k") == 1, "file path hash collision").isNull()) \
         .select(*split, "_first", "_off")
-    keyed = rows.join(F.broadcast(offsets), split, "inner")
+    keyed = rows.join(F.broadcast(offsets) if few else offsets, split, "inner")
     rank = F.col("_off") + (F.col("_src_pos") - F.col("_first")) + F.lit(start)
     return keyed.withColumn(out, rank.cast("long")).drop(
         "_off", "_first", "_src_fh", "_src_file", "_src_block", "_src_pos")
@@ -87,20 +106,20 @@ def create_row_id(df: DataFrame, order_cols: list[str] | None = None, out: str =
 
 
 def parse_cells(df: DataFrame) -> DataFrame:
-    """Converter step for text input: list / dict literal cells -> array / map."""
+    """Converter step for text input: list literal cells -> array, dict literal cells -> JSON text."""
     out = df
     if "job_skills" in df.columns and isinstance(df.schema["job_skills"].dataType, T.StringType):
         out = out.withColumn("job_skills", parse_list("job_skills"))
     if "job_type_skills" in df.columns and isinstance(df.schema["job_type_skills"].dataType, T.StringType):
-        out = out.withColumn("job_type_skills", parse_dict("job_type_skills"))
+        out = out.withColumn("job_type_skills", dict_json("job_type_skills"))
     return out
 
 
-def stage(raw: DataFrame) -> DataFrame:
+def stage(raw: DataFrame, date_format: str | list[str] | None = None) -> DataFrame:
     """Raw (converted) postings -> staging schema.
 
-    Flags: 'true'/'false' in any case, else NULL. Date: ISO text -> timestamp, bad ->
-    NULL. Salaries -> decimal(10,2). Skill list kept as array; skill dict stored as
+    Flags: 'true'/'false' in any case, else NULL. Date: ISO text (or ``date_format``) ->
+    timestamp, bad -> NULL, counted by ``lost_cells``. Salaries -> decimal(10,2). Skill list kept as array; skill dict stored as
     JSON text. Columns missing from the input become NULL.
     """
     exprs = {}
@@ -111,7 +130,7 @@ def stage(raw: DataFrame) -> DataFrame:
         elif name in FLAG_COLUMNS:
             exprs[name] = tri_state_bool(name)
         elif name == "job_posted_date":
-            exprs[name] = to_timestamp(name)
+            exprs[name] = to_timestamp(name, date_format)
         elif name in ("salary_year_avg", "salary_hour_avg"):
             exprs[name] = to_decimal(name)
         elif name == "job_skills":
@@ -126,6 +145,17 @@ def stage(raw: DataFrame) -> DataFrame:
     return raw.select(*[exprs[f.name].alias(f.name) for f in STAGING_SCHEMA.fields])
 
 
+def lost_cells(raw: DataFrame, date_format: str | list[str] | None = None) -> dict[str, int]:
+    """Cells with a value that staging turns into NULL, by column, in one pass over converted postings."""
+    staged = {"job_posted_date": to_timestamp("job_posted_date", date_format), "salary_year_avg": to_decimal("salary_year_avg"),
+              "salary_hour_avg": to_decimal("salary_hour_avg")}
+    present = {c: e for c, e in staged.items() if c in raw.columns}
+    if not present:
+        return {}
+    row = raw.agg(*[F.count_if(F.col(c).isNotNull() & e.isNull()).alias(c) for c, e in present.items()]).first()
+    return {c: int(row[c]) for c in present}
+
+
 def write_csv(df: DataFrame, path: str, order_col: str = "id") -> None:
     """Write text postings as header CSV files, in ``order_col`` order across files."""
     (df.repartitionByRange(order_col).sortWithinPartitions(order_col).drop(order_col)

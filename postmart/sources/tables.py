@@ -1,15 +1,18 @@
 """Table storage: staging append, declared targets, run folders and publish.
 
 Targets are Parquet folders. A load writes every table of a run into
-``<base>/runs/<run_id>/<table>``, checks them, and only then writes the pointer
-``<base>/_current`` (a one-line text table written through Spark, so it works on any
-file system the cluster uses). Readers resolve the pointer. Older runs stay readable;
-a failed run is never visible. Staging lives at ``<base>/staging`` and is only appended.
+``<base>/runs/<run_id>/<table>``, checks them, and only then appends a line to the
+pointer table ``<base>/_current`` (text written through Spark, so it works on any file
+system the cluster uses). Readers take the latest line, so a published run is named at
+every moment. Older runs stay readable; a failed run is never visible. Staging is appended
+at ``<base>/staging``, or in the folder of the full run that rebuilt it last, which is
+published with that run.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +22,9 @@ from pyspark.sql import types as T
 from ..schemas import REFRESH_ORDER, STAGING_SCHEMA, TARGET_SCHEMAS
 
 
-def staging_path(base: str) -> str:
-    return f"{base.rstrip('/')}/staging"
+def staging_path(base: str, run_id: str | None = None) -> str:
+    """Folder of staging: of the run that rebuilt it, or of a mart where no run has."""
+    return run_path(base, run_id, "staging") if run_id else f"{base.rstrip('/')}/staging"
 
 
 def run_path(base: str, run_id: str, name: str | None = None) -> str:
@@ -39,19 +43,20 @@ def append(df: DataFrame, path: str, partitions: int | None = None) -> None:
 
 
 def append_staging(staged: DataFrame, base: str, batch: str | None = None, partitions: int | None = None,
-                   replace_all: bool = False) -> str:
+                   rebuild: bool = False) -> str:
     """Add one load batch to staging; rewriting the same ``batch`` replaces only that batch.
 
     Staging is partitioned by ``load_batch``, so a retried batch (same name) overwrites
-    its own folder and nothing else: appends are idempotent. ``replace_all`` makes this
-    batch the whole staging table (a full run starts from an empty staging).
+    its own folder and nothing else: appends are idempotent. With ``rebuild`` the batch is
+    a run id and becomes a whole staging table of its own in that run's folder, which
+    readers see once the run is published.
     """
     batch = batch or new_run_id()
     out = staged.select(*[f.name for f in STAGING_SCHEMA.fields]).withColumn("load_batch", F.lit(batch))
     if partitions:
         out = out.repartition(partitions)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-     .partitionBy("load_batch").parquet(staging_path(base)))
+    path = staging_path(base, batch) if rebuild else current_staging(staged.sparkSession, base)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch").parquet(path)
     return batch
 
 
@@ -60,17 +65,35 @@ def _staging_files_schema() -> T.StructType:
 
 
 def staging_exists(spark: SparkSession, base: str) -> bool:
-    try:
-        spark.read.schema(_staging_files_schema()).parquet(staging_path(base)).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - no staging yet
-        return False
+    return _exists(spark, current_staging(spark, base))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder; any other error than its absence is raised."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found))
+
+
+def current_staging(spark: SparkSession, base: str) -> str:
+    """The staging folder that readers see and batches are appended to."""
+    line = _pointer(spark, base)
+    return staging_path(base, line[2] if line and line[2] else None)
+
+
+def _pointer(spark: SparkSession, base: str) -> tuple[str, str, str] | None:
+    """The latest line of the pointer table: (time in nanoseconds, run, run that rebuilt staging or '')."""
+    path = f"{base.rstrip('/')}/_current"
+    if not _exists(spark, path):
+        return None
+    row = spark.read.text(path).agg(F.max("value").alias("v")).first()
+    return tuple(row["v"].split("\t")) if row and row["v"] else None
 
 
 def read_table(spark: SparkSession, base: str, name: str, run_id: str | None = None) -> DataFrame:
     """Read staging or a published table (S4); column pruning reaches the scan."""
     if name == "staging":
-        return spark.read.schema(_staging_files_schema()).parquet(staging_path(base)) \
+        path = staging_path(base, run_id) if run_id else current_staging(spark, base)
+        return spark.read.schema(_staging_files_schema()).parquet(path) \
             .select(*[f.name for f in STAGING_SCHEMA.fields])
     rid = run_id or current_run(spark, base)
     if rid is None:
@@ -106,18 +129,17 @@ def write_tables(tables: dict[str, DataFrame], base: str, run_id: str,
     return paths
 
 
-def publish(spark: SparkSession, base: str, run_id: str) -> None:
-    """Point readers at ``run_id`` (S6): the previous run stays on disk, untouched."""
-    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite") \
-        .text(f"{base.rstrip('/')}/_current")
+def publish(spark: SparkSession, base: str, run_id: str, rebuilt_staging: bool = False) -> None:
+    """Point readers at ``run_id`` (S6): a line is added, the previous run stays on disk, untouched."""
+    old = _pointer(spark, base)
+    staging = run_id if rebuilt_staging else (old[2] if old else "")
+    line = f"{time.time_ns():020d}\t{run_id}\t{staging}"
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{base.rstrip('/')}/_current")
 
 
 def current_run(spark: SparkSession, base: str) -> str | None:
-    try:
-        row = spark.read.text(f"{base.rstrip('/')}/_current").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return row[0] if row else None
+    line = _pointer(spark, base)
+    return line[1] if line else None
 
 
 def stamp(df: DataFrame, run_ts: _dt.datetime, col: str = "created_at") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import PANDAS_NA_TOKENS, RAW_COLUMNS, RAW_TEXT_SCHEMA, SEMI_STRUCTURED
+from ..schemas import PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTURED
 from ..session import shared_dir
 from ..sources import ingest as I
 from ..sources import tables as TB
@@ -22,17 +22,20 @@ from ..sources import tables as TB
 def _next_id(spark: SparkSession, base: str, batch: str) -> int:
     if not TB.staging_exists(spark, base):
         return 1
-    others = spark.read.schema(TB._staging_files_schema()).parquet(TB.staging_path(base)) \
+    others = spark.read.schema(TB._staging_files_schema()).parquet(TB.current_staging(spark, base)) \
         .where(F.col("load_batch") != batch)
     row = others.agg(F.max("id").alias("m")).first()
     return (int(row["m"]) if row and row["m"] is not None else 0) + 1
 
 
 def staging_feed(spark: SparkSession, landing: str, base: str, checkpoint: str | None = None,
-                 files_per_batch: int = 10, available_now: bool = True) -> StreamingQuery:
-    """Start the feed; with ``available_now`` it processes what is there and stops."""
-    stream = (spark.readStream.schema(RAW_TEXT_SCHEMA).option("header", True).option("escape", '"')
-              .option("multiLine", True).option("maxFilesPerTrigger", files_per_batch).csv(landing))
+                 files_per_batch: int = 10, available_now: bool = True, multiline: bool = False) -> StreamingQuery:
+    """Start the feed; with ``available_now`` it processes what is there and stops.
+
+    Files must have the posting columns as their header, in order; another header stops the feed.
+    """
+    stream = (I.csv_reader(spark.readStream, RAW_COLUMNS, multiline)
+              .option("maxFilesPerTrigger", files_per_batch).csv(landing))
     plain = [c for c in RAW_COLUMNS if c not in SEMI_STRUCTURED]
     cleaned = stream.withColumns({c: F.when(F.col(c).isin(PANDAS_NA_TOKENS), None).otherwise(F.col(c))
                                   for c in plain}).withColumns({
@@ -40,14 +43,13 @@ def staging_feed(spark: SparkSession, landing: str, base: str, checkpoint: str |
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         name = f"stream-{batch_id:012d}"
-        # A micro-batch is a static frame: write it once so both passes of the id
-        # assignment (split sizes, then ranks) see the same partitions.
+        # Positions are taken where the files are read and written once, so that both passes of
+        # the id assignment (split sizes, then ranks) see the same ones.
         staged_in = f"{base.rstrip('/')}/_feed/{name}"
-        batch_df.write.mode("overwrite").parquet(staged_in)
+        batch_df.withColumn("_src_pos", F.monotonically_increasing_id()).write.mode("overwrite").parquet(staged_in)
         batch = batch_df.sparkSession.read.parquet(staged_in)
-        keyed_in = batch.withColumn("_src_pos", F.monotonically_increasing_id())
         start = _next_id(batch_df.sparkSession, base, name)
-        raw = I.parse_cells(I.arrival_ids(keyed_in, "id", start))
+        raw = I.parse_cells(I.arrival_ids(batch, "id", start))
         TB.append_staging(I.stage(raw), base, batch=name)
 
     writer = (cleaned.writeStream.foreachBatch(write_batch)

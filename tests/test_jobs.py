@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from postmart.plans import jobs as J
@@ -25,7 +26,7 @@ def test_csv_round_trip_keeps_whitespace_and_newlines(spark, scratch):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
     I.write_csv(df.select("id", *RAW_COLUMNS), f"{scratch}/csv")
-    got = I.create_row_id(I.parse_cells(I.scan_csv(spark, f"{scratch}/csv"))).orderBy("id").collect()
+    got = I.create_row_id(I.parse_cells(I.scan_csv(spark, f"{scratch}/csv", multiline=True))).orderBy("id").collect()
     assert [r["job_title"] for r in got] == [" a ", "  "]
     assert got[0]["job_location"] == "line1\nline2" and got[1]["job_location"] is None
     assert got[0]["job_skills"] == ["x", "y"] and got[1]["job_skills"] is None
@@ -37,7 +38,9 @@ def test_run_full_fails_on_null_company_then_quarantine_publishes(spark, scratch
     write_fixture_csv(spark, csv)
     rep = J.run_full(spark, csv, base)
     assert rep.ok is False and "not_null:jobs.company_id" in rep.violations
-    assert TB.current_run(spark, base) is None          # nothing published
+    assert TB.current_run(spark, base) is None          # nothing published, staging included
+    assert not TB.staging_exists(spark, base)
+    J.run_ingest_only(spark, csv, base)
     rep2 = J.run_transform_only(spark, base, on_violation="quarantine")
     assert rep2.ok and TB.current_run(spark, base) == rep2.run_id
     assert rep2.violations["quarantined:jobs"] == rep.violations["not_null:jobs.company_id"]
@@ -153,3 +156,103 @@ def test_arrival_ids_follow_file_and_split_order(spark, scratch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def postings(spark, path, **cells):
+    """One-posting CSV with the given cells."""
+    good = dict(job_title_short="Baker", job_title="Pastry Baker", job_location="Lyon", job_via="via Pain", job_schedule_type="Temp",
+                job_posted_date="2024-07-08", job_country="Kenya", salary_rate="day", company_name="Four",
+                job_skills="['choux']", job_type_skills="{'dough': ['choux']}")
+    rows = [good | {k: v[i] for k, v in cells.items()} for i in range(len(next(iter(cells.values()))))]
+    df = spark.createDataFrame([(i, *(r.get(c) for c in RAW_COLUMNS)) for i, r in enumerate(rows)],
+                               "id long, " + ", ".join(f"{c} string" for c in RAW_COLUMNS))
+    I.write_csv(df, path)
+
+
+@pytest.mark.parametrize("cells, rule", [
+    ({"job_title": ["fine", "t" * 600]}, "length:jobs.job_title"),
+    ({"job_type_skills": ["{'dough': ['choux']}", "{'%s': ['choux']}" % ("c" * 60)]}, "length:skill_categories.category_name"),
+    ({"company_name": ["Four", None]}, "not_null:jobs.company_id"),
+])
+def test_violations_are_refused_or_quarantined(spark, scratch, cells, rule):
+    postings(spark, f"{scratch}/in", **cells)
+    rep = J.run_full(spark, f"{scratch}/in", f"{scratch}/mart")
+    assert rep.ok is False and rep.violations.get(rule) == 1
+    assert TB.current_run(spark, f"{scratch}/mart") is None
+    rep = J.run_full(spark, f"{scratch}/in", f"{scratch}/mart", on_violation="quarantine")
+    assert rep.ok, rep.message
+    written = {t: TB.read_table(spark, f"{scratch}/mart", t) for t in ("companies", "locations", "platforms", "schedule_types",
+                                                                      "skill_categories", "skills", "jobs", "job_skills")}
+    assert not any(J.violation_counts(written).values())
+
+
+def test_quarantine_follows_foreign_keys(spark):
+    tables = {
+        "companies": spark.createDataFrame([(1, "a"), (2, None)], "company_id long, company_name string"),
+        "jobs": spark.createDataFrame([(1, "t", "s", 1, 1, "year"), (2, "t", "s", 2, 1, "year"), (3, "t", "s", 1, 1, "century")],
+                                      "job_id long, job_title string, job_title_short string, company_id long, "
+                                      "location_id long, salary_rate string"),
+        "job_skills": spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "job_id long, skill_id long")}
+    kept, dropped = J.quarantine(tables)
+    assert [r["job_id"] for r in kept["jobs"].collect()] == [1] and [r["job_id"] for r in kept["job_skills"].collect()] == [1]
+    assert dropped["companies"].count() == 1 and dropped["jobs"].count() == 2 and dropped["job_skills"].count() == 2
+
+
+def test_rate_and_overflow_stop_at_the_gate(spark, scratch):
+    for k, cells in enumerate(({"salary_rate": ["century"]}, {"salary_year_avg": ["1e12"]})):
+        postings(spark, f"{scratch}/in{k}", **cells)
+        rep = J.run_full(spark, f"{scratch}/in{k}", f"{scratch}/mart")
+        assert rep.ok is False and next(iter(cells)) in rep.message
+
+
+def test_lost_dates_are_counted_or_read_by_format(spark, scratch):
+    postings(spark, f"{scratch}/in", job_posted_date=["2024-01-02", "01/15/2023 10:00"])
+    rep = J.run_full(spark, f"{scratch}/in", f"{scratch}/a")
+    assert rep.ok and rep.lost["job_posted_date"] == 1
+    rep = J.run_full(spark, f"{scratch}/in", f"{scratch}/b", date_format=["yyyy-MM-dd", "MM/dd/yyyy HH:mm"])
+    assert rep.lost["job_posted_date"] == 0
+    dates = {str(r[0]) for r in TB.read_table(spark, f"{scratch}/b", "jobs").select("job_posted_date").collect()}
+    assert dates == {"2024-01-02 00:00:00", "2023-01-15 10:00:00"}
+    report = spark.read.parquet(f"{rep.quality}/missing_values")
+    assert report.where("column_name = 'search_location'").first()["missing_count"] == 2
+
+
+def test_other_headers_stop_the_read(spark, scratch):
+    spark.createDataFrame([("c", "t")], "company_name string, job_title string").write.option("header", True).csv(f"{scratch}/h")
+    spark.createDataFrame([("t", "c")], "job_title string, company_name string").write.mode("append").option(
+        "header", True).csv(f"{scratch}/h")
+    with pytest.raises(Exception):
+        I.scan_csv(spark, f"{scratch}/h").collect()
+
+
+def test_feed_stops_at_shifted_columns_and_numbers_splits(spark, scratch):
+    good = {c: c for c in RAW_COLUMNS}
+    turned = [RAW_COLUMNS[1], RAW_COLUMNS[0], *RAW_COLUMNS[2:]]
+    spark.createDataFrame([tuple(good[c] for c in turned)], turned).write.option("header", True).csv(f"{scratch}/bad")
+    with pytest.raises(Exception):
+        staging_feed(spark, f"{scratch}/bad", f"{scratch}/a", checkpoint=f"{scratch}/c1").processAllAvailable()
+    n = 20000
+    df = spark.range(n).select("id", *[F.concat(F.lit(c), F.col("id").cast("string")).alias(c) for c in RAW_COLUMNS])
+    I.write_csv(df.coalesce(1), f"{scratch}/big")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        staging_feed(spark, f"{scratch}/big", f"{scratch}/b", checkpoint=f"{scratch}/c2").awaitTermination(300)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    ids = TB.read_table(spark, f"{scratch}/b", "staging").agg(F.min("id"), F.max("id"), F.countDistinct("id")).first()
+    assert tuple(ids) == (1, n, n)
+
+
+def test_pointer_is_never_absent(spark, scratch):
+    base = f"{scratch}/mart"
+    assert TB.current_run(spark, base) is None
+    for run in ("r1", "r2", "r0"):
+        TB.publish(spark, base, run)
+        assert TB.current_run(spark, base) == run
+    assert spark.read.text(f"{base}/_current").count() == 3      # lines are added, none is replaced
+
+
+def test_errors_are_not_taken_for_an_empty_mart(spark):
+    with pytest.raises(Exception):
+        TB.staging_exists(spark, "nosuchscheme://x/y")

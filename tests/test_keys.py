@@ -35,9 +35,9 @@ def test_insert_if_absent_nulls_distinct(spark):
     assert len(same) == 2
 
 
-def test_dense_key_checkpoint_variant_and_coalesced_ranges(spark):
+def test_dense_key_coalesced_ranges(spark):
     df = spark.range(0, 3000, numPartitions=5).select(((F.col("id") * 31) % 3001).alias("k"))
-    a = K.dense_key(df, ["k"], "key", materialize="checkpoint")
+    a = K.dense_key(df, ["k"], "key")
     b = K.dense_key(df, ["k"], "key", partitions=40)
     expect = df.withColumn("key", F.row_number().over(Window.orderBy("k")).cast("long"))
     assert sorted(a.collect()) == sorted(expect.collect()) == sorted(b.collect())

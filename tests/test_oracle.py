@@ -12,7 +12,9 @@ from check_oracle import compare, duck  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
-QUERIES = E.queries()
+from postmart.catalog import QUERIES as OWN  # noqa: E402
+
+QUERIES = {name: E.queries()[name] for name in OWN}
 ORACLE = E.oracle_sql()
 
 

@@ -60,3 +60,12 @@ def test_scd_type2_and_type1(spark):
     t1 = {r["k"]: r["attr"] for r in SCD.scd_dimension(cur, new, ["k"], ["attr"], "2021-01-01", kind=1)
           .where("is_current").collect()}
     assert t1 == {1: "a", 2: "B", 3: "c", 4: "d"}
+
+
+def test_scd_tells_values_apart_that_join_to_equal_text(spark):
+    import datetime as dt
+    from postmart.operators.scd import scd_dimension
+    cur = spark.createDataFrame([(1, "a\x01b", "c", dt.date(2020, 1, 1), None, True)],
+                                "k long, x string, y string, valid_from date, valid_to date, is_current boolean")
+    new = spark.createDataFrame([(1, "a", "b\x01c")], "k long, x string, y string")
+    assert {r["change"] for r in scd_dimension(cur, new, ["k"], ["x", "y"], "2021-01-01").collect()} == {"closed", "opened"}
