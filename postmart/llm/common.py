@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,8 +57,8 @@ def join_spread(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, sal
 
 
 def id_bitmap(ids: DataFrame, column: str, bits: int = 24) -> np.ndarray:
-    """A bitmap of 2**bits bits of a long column, gathered as at most 2**(bits - 6) words: its size is fixed."""
-    found = (ids.select(F.shiftrightunsigned(F.xxhash64(column), 64 - bits).alias("at"))
+    """A bitmap of 2**bits bits of a column of 64-bit hashes, gathered as at most 2**(bits - 6) words: its size is fixed."""
+    found = (ids.select(F.shiftrightunsigned(column, 64 - bits).alias("at"))
              .selectExpr("at div 64 AS word", "shiftleft(1L, CAST(at % 64 AS INT)) AS bit")
              .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(1 << (bits - 6), np.int64)
@@ -67,21 +66,14 @@ def id_bitmap(ids: DataFrame, column: str, bits: int = 24) -> np.ndarray:
     return out
 
 
-def in_bitmap(rows: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
-    """Rows whose ``column`` may be among the ids of the bitmap: all that are, and few others while it is sparse.
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes may be among those of the bitmap: all that are, and few others while it is sparse.
 
-    It saves shuffling rows that a join on the ids would drop; a full bitmap lets all rows pass.
+    It saves shuffling rows that a join would drop; a full bitmap lets all rows pass.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-    shift = len(bitmap).bit_length() - 1 + 6
-
-    def run(batches):
-        for batch in batches:
-            at = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64) >> np.uint64(64 - shift)
-            word = shared.value[(at >> np.uint64(6)).astype(np.int64)].view(np.uint64)
-            kept = batch.filter(pa.array((word >> (at & np.uint64(63))) & np.uint64(1) > 0))
-            yield kept.select(range(batch.num_columns - 1))
-    return rows.withColumn("_hash", F.xxhash64(column)).mapInArrow(run, rows.schema)
+    at = hashes.view(np.uint64) >> np.uint64(64 - (len(bitmap).bit_length() - 1 + 6))
+    word = bitmap[(at >> np.uint64(6)).astype(np.int64)].view(np.uint64)
+    return (word >> (at & np.uint64(63))) & np.uint64(1) > 0
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -87,13 +87,16 @@ def weighted(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def prob_min_hash(h: np.ndarray, weight: np.ndarray, first: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
-    """Signatures of texts of weighted shingles: (texts, registers) 16-bit shingle marks."""
+    """Signatures of texts of weighted shingles: (texts, registers) marks of eight bits of a shingle's hash.
+
+    Registers with different shingles agree by chance once in 256 times.
+    """
     texts = len(first) - 1
     time = np.full(texts * registers, np.inf)
-    mark = np.zeros(texts * registers, np.uint16)
+    mark = np.zeros(texts * registers, np.uint8)
     text = np.repeat(np.arange(texts), np.diff(first))
     h, rate, now, step = h.copy(), weight.astype(float), np.zeros(len(h)), 0
-    name = (tv.mix(h + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(48)).astype(np.uint16)
+    name = (tv.mix(h + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(56)).astype(np.uint8)
     while len(h):
         k = int(np.clip(8000 // len(h), 1, 64))      # a few shingles send several arrivals at once
         draw = tv.mix(h[:, None] + (np.arange(step, step + k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :])
@@ -114,13 +117,10 @@ def prob_min_hash(h: np.ndarray, weight: np.ndarray, first: np.ndarray, register
     return mark.reshape(texts, registers)
 
 
-def band_keys(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """(texts, bands) bucket keys."""
-    part = np.ascontiguousarray(signatures).view(np.uint64).reshape(len(signatures), -1, rows // 4)
-    key = np.arange(part.shape[1], dtype=np.uint64)[None, :] + np.uint64(1)
-    for j in range(part.shape[2]):
-        key = tv.mix(key + part[:, :, j])
-    return key
+def band_keys(signatures: np.ndarray) -> np.ndarray:
+    """(texts, bands) bucket keys: of every ROWS = 8 registers, whose marks make one 64-bit number."""
+    part = np.ascontiguousarray(signatures).view(np.uint64)
+    return tv.mix(part + tv.mix(np.arange(part.shape[1], dtype=np.uint64) + np.uint64(1)))
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -153,12 +153,14 @@ def _texts(batch_column):
             yield h[first[i]:first[i + 1]], w[first[i]:first[i + 1]]
 
 
-def sign(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """doc (a struct of the columns to keep), text, key (of its words), signature (null without words) and row.
+def _rows(docs: DataFrame, keep: list[str]) -> DataFrame:
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), F.col("text").cast("string").alias("text"))
 
-    Written once, so that the row numbers hold.
-    """
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), F.col("text").cast("string").alias("text"))
+
+def sign(docs: DataFrame, keep: list[str], with_text: bool) -> DataFrame:
+    """doc (a struct of the columns to keep), text (if asked for), key and mark (of its words, 128 and 64 bits),
+    signature (null without words) and row. Written once, so that the row numbers hold."""
+    rows = _rows(docs, keep)
 
     def run(batches):
         for batch in batches:
@@ -170,18 +172,36 @@ def sign(docs: DataFrame, keep: list[str]) -> DataFrame:
                 of: list[bytes | None] = [None] * (b - a)
                 for i, s in zip(full.tolist(), signature):
                     of[i] = s.tobytes()
-                key = np.stack([x, y], 1)
-                yield pa.record_batch([
-                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
-                    pa.array([k.tobytes() for k in key], pa.binary()), pa.array(of, pa.binary())],
-                    names=["doc", "text", "key", "signature"])
-    schema = rows.select("doc", "text", F.lit(b"").alias("key"), F.lit(None).cast("binary").alias("signature")).schema
+                lead = [c.slice(a, b - a) for c in (batch.column(0), batch.column(1))[:1 + with_text]]
+                yield pa.record_batch([*lead, _keys(x, y), pa.array(x.view(np.int64)), pa.array(of, pa.binary())],
+                                      names=schema.names)
+    schema = rows.select("doc", *["text"][:with_text], F.lit(b"").alias("key"), F.lit(0).cast("long").alias("mark"),
+                         F.lit(None).cast("binary").alias("signature")).schema
     return cut(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
+def _keys(x: np.ndarray, y: np.ndarray) -> pa.Array:
+    return pa.array([k.tobytes() for k in np.stack([x, y], 1)], pa.binary())
+
+
+def _texts_of(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """(key, text) of the texts whose mark may be in the bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = tv.strings(batch.column(0))
+            for a, b in tv.slices(offsets):
+                _, _, x, y = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                hit = in_bitmap(shared.value, x)
+                yield pa.record_batch([_keys(x[hit], y[hit]), batch.column(0).slice(a, b - a).filter(pa.array(hit))],
+                                      names=["key", "text"])
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key binary, text string")
+
+
 def _bands(batches):
     for batch in batches:
-        key = band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS))
+        key = band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, REGISTERS))
         yield pa.record_batch([pa.array(key.ravel().view(np.int64)),
                                pa.array(np.repeat(batch.column(0).to_numpy(), key.shape[1]))], names=["band", "node"])
 
@@ -240,7 +260,7 @@ def _cross_links(threshold: float):
             return x
         sides = [[r for r in rows if r[2] == k] for k in (0, 1)]
         left, right = sides if sides[1] else (sides[0], sides[0])
-        a, b = (np.frombuffer(b"".join(r[3] for r in s), np.uint16).reshape(len(s), -1) for s in (left, right))
+        a, b = (np.frombuffer(b"".join(r[3] for r in s), np.uint8).reshape(len(s), -1) for s in (left, right))
         for i, one in enumerate(left):
             near = (b == a[i]).mean(axis=1)
             for k in np.flatnonzero(near >= least).tolist():
@@ -299,17 +319,20 @@ def cross_links(pairs: DataFrame, parts: DataFrame, nodes: DataFrame, threshold:
             .mapInArrow(_cross_links(threshold), "a long, b long"))
 
 
-def classify(signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def classify(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """key, component, n (copies) and best (of its copies that with the smallest doc_id) of every distinct text."""
     doc_id = F.col("doc.doc_id").cast("long")
-    texts = cut(signed.groupBy("key").agg(
+    texts = cut(signed.groupBy("key", "mark").agg(
         F.min("row").alias("node"), F.count("*").alias("n"),
         F.min(F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), "row")).alias("best")), "nodes")
-    rows = signed.where("signature IS NOT NULL").select(F.col("row").alias("node"), "signature", "text")
-    pairs = cut(star_pairs(rows.select("node", "signature").join(texts.select("node"), "node")), "pairs")
-    # The texts of nodes without a pair are not needed any more: most go by a bitmap before any shuffle.
-    paired = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node")))
-    nodes = cut(in_bitmap(rows, "node", id_bitmap(paired, "node")), "paired")
+    rows = signed.where("signature IS NOT NULL").select(F.col("row").alias("node"), "signature")
+    pairs = cut(star_pairs(rows.join(texts.select("node"), "node")), "pairs")
+    # Only texts with a pair are read again: the others go by a bitmap, before any shuffle.
+    paired = cut(texts.select("key", "mark", "node").join(
+        pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))), "node", "left_semi"), "paired")
+    bodies = _texts_of(docs, id_bitmap(paired, "mark")).dropDuplicates(["key"]).join(
+        paired.select("key", "node"), "key")
+    nodes = cut(bodies.select("node", "text").join(rows, "node"), "paired")
     links = cut(verify(pairs, nodes.select("node", "text"), threshold), "links")
     parts = components(links)
     more = cut(cross_links(pairs, parts, nodes, threshold), "links")
@@ -321,8 +344,8 @@ def classify(signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id and class_size of every row of (doc_id, text)."""
-    signed = sign(docs, ["doc_id"])
-    texts = cut(classify(signed, threshold), "classes")
+    signed = sign(docs, ["doc_id"], with_text=False)
+    texts = cut(classify(docs, signed, threshold), "classes")
     classes = texts.groupBy("component").agg(F.min("best.doc_id").alias("class_id"), F.sum("n").alias("class_size"))
     of_key = texts.select("key", "component").join(classes, "component").select("key", "class_id", "class_size")
     return (join_spread(signed.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "row", "key"), of_key, "key",
@@ -332,8 +355,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Of each class the row with the smallest doc_id (nulls last, then the first row), with all its columns."""
-    signed = sign(docs, [c for c in docs.columns if c != "text"])
-    kept = classify(signed, threshold).groupBy("component").agg(F.min("best").alias("best")).select("best.row")
+    signed = sign(docs, [c for c in docs.columns if c != "text"], with_text=True)
+    kept = classify(docs, signed, threshold).groupBy("component").agg(F.min("best").alias("best")).select("best.row")
     return signed.join(kept, "row", "left_semi").select(*(
         F.col("text").cast(docs.schema[c].dataType).alias(c) if c == "text" else F.col("doc")[c].alias(c)
         for c in docs.columns))
