@@ -12,7 +12,20 @@ from postmart.session import fresh_dir
 HOT_SHARE = 1000
 
 
+#: Rows of an Arrow batch between the JVM and Python: texts are long, and both sides hold whole batches.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session pass at most BATCH_ROWS rows at once, unless it is set to fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts or pages, to be read in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

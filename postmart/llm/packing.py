@@ -30,7 +30,7 @@ from .wordpiece import word_ids
 
 CAPACITY = 4096
 END_ID = 1
-TOKEN_SLICE = 2 << 20
+TOKEN_SLICE = 1 << 20
 
 PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()),
                        T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),

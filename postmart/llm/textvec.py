@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _rng = np.random.RandomState(20240229)
 _TABLE = (_rng.randint(0, 1 << 32, 256, dtype=np.uint64) << U64(32)) | _rng.randint(0, 1 << 32, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15

@@ -22,7 +22,7 @@ import numpy as np
 from . import textvec as tv
 
 #: Distinct parts kept by one Python worker; beyond it the table is begun anew.
-MOST_PARTS = 2_000_000
+MOST_PARTS = 1_000_000
 
 _SPACE = ~tv.SOLID
 _LETTER = tv.byte_class((0x41, 0x5A), (0x61, 0x7A))
