@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from postmart.llm import contamination, credentials, near_dup, packing, quality
-from postmart.llm.common import cut, table
+from postmart.llm.common import cut, small_batches, table
 from postmart.llm.queries import tokenizer
 
 
@@ -21,6 +21,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays, the one with the smallest doc_id."""
+    small_batches(spark)
     return near_dup.keep_one(docs)
 
 
@@ -31,11 +32,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is masked in its text; all documents stay."""
+    small_batches(spark)
     return credentials.mask_secrets(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of what is left, each with its sequence and offset."""
+    small_batches(spark)
     return packing.best_fit_pack(docs, tokenizer())
 
 
