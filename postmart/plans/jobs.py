@@ -25,6 +25,7 @@ from ..operators import dimensions as D
 from ..operators import facts as FX
 from ..operators import keys as K
 from ..operators import quality as Q
+from ..operators import star as H
 from ..schemas import (CHECK_RULES, FOREIGN_KEY_RULES, KEY_COLUMNS, LENGTH_RULES, NOT_NULL_RULES, PRIMARY_KEY_RULES,
                        REFRESH_ORDER, SEMI_STRUCTURED, UNIQUE_RULES, AllowedValues, MaxLength, NotNull)
 from ..session import fresh_dir, scratch_under
@@ -166,7 +167,7 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
     """Build, (optionally quarantine), write once into the run folder, check, then publish.
 
     Intermediate tables of the build (surrogate-key tags) go under the run's ``_work``
-    folder, so they are kept and removed together with the run.
+    folder, which goes once the run is published.
     """
     with scratch_under(spark, f"{TB.run_path(base, run_id)}/_work"):
         tables = build_3nf(staging, **opts)
@@ -189,6 +190,7 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
     if bad:
         return LoadReport(False, run_id, "constraint violations: " + ", ".join(sorted(bad)), violations=bad)
     TB.publish(spark, base, run_id, rebuilt_staging)
+    TB.remove(spark, f"{TB.run_path(base, run_id)}/_work")
     return LoadReport(True, run_id, None, counts, viol)
 
 
@@ -226,4 +228,28 @@ def run_ingest_only(spark: SparkSession, csv_path: str, base: str, multiline: bo
     batch = TB.new_run_id()
     with scratch_under(spark, f"{base.rstrip('/')}/_work/{batch}"):
         raw = read_postings_csv(spark, csv_path, base, multiline)
-    return TB.append_staging(I.stage(raw, date_format), base, batch=batch)
+    TB.append_staging(I.stage(raw, date_format), base, batch=batch)
+    TB.remove(spark, f"{base.rstrip('/')}/_work/{batch}")
+    return batch
+
+
+def run_star(spark: SparkSession, base: str, as_of: _dt.date) -> dict[str, int]:
+    """Build the star schema from the published tables (H1-H10), write it and publish it; rows by table."""
+    run_id = TB.new_run_id()
+    root = f"{base.rstrip('/')}/star/{run_id}"
+    t = {name: TB.read_table(spark, base, name) for name in REFRESH_ORDER}
+    with scratch_under(spark, f"{root}/_work"):
+        location, location_key = H.star_dim_location(t["locations"])
+        titles = H.star_dim_job_title(t["jobs"])
+        star = {
+            "dim_company": H.star_dim_company(t["companies"]), "dim_location": location, "dim_date": H.star_dim_date(t["jobs"]),
+            "dim_job_title": titles, "dim_platform": H.star_dim_platform(t["platforms"]),
+            "dim_schedule_type": H.star_dim_schedule_type(t["schedule_types"]),
+            "dim_skill": H.star_dim_skill(t["skills"], t["skill_categories"]),
+            "dim_attributes": H.star_dim_attributes(spark), "bridge_job_skills": H.star_bridge_skills(t["job_skills"]),
+            "fact_job_postings": H.star_fact_postings(t["jobs"], t["job_skills"], location_key, titles, as_of)}
+        for name, df in star.items():
+            df.write.parquet(f"{root}/{name}")
+    TB.publish(spark, base, run_id, name="_star_current")
+    TB.remove(spark, f"{root}/_work")
+    return {name: TB.star_table(spark, base, name).count() for name in star}

@@ -80,9 +80,15 @@ def current_staging(spark: SparkSession, base: str) -> str:
     return staging_path(base, line[2] if line and line[2] else None)
 
 
-def _pointer(spark: SparkSession, base: str) -> tuple[str, str, str] | None:
-    """The latest line of the pointer table: (time in nanoseconds, run, run that rebuilt staging or '')."""
-    path = f"{base.rstrip('/')}/_current"
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables."""
+    gone = spark._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def _pointer(spark: SparkSession, base: str, name: str = "_current") -> tuple[str, str, str] | None:
+    """The latest line of a pointer table: (time in nanoseconds, run, run that rebuilt staging or '')."""
+    path = f"{base.rstrip('/')}/{name}"
     if not _exists(spark, path):
         return None
     row = spark.read.text(path).agg(F.max("value").alias("v")).first()
@@ -129,12 +135,12 @@ def write_tables(tables: dict[str, DataFrame], base: str, run_id: str,
     return paths
 
 
-def publish(spark: SparkSession, base: str, run_id: str, rebuilt_staging: bool = False) -> None:
+def publish(spark: SparkSession, base: str, run_id: str, rebuilt_staging: bool = False, name: str = "_current") -> None:
     """Point readers at ``run_id`` (S6): a line is added, the previous run stays on disk, untouched."""
-    old = _pointer(spark, base)
+    old = _pointer(spark, base, name)
     staging = run_id if rebuilt_staging else (old[2] if old else "")
     line = f"{time.time_ns():020d}\t{run_id}\t{staging}"
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{base.rstrip('/')}/_current")
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{base.rstrip('/')}/{name}")
 
 
 def current_run(spark: SparkSession, base: str) -> str | None:
@@ -145,3 +151,11 @@ def current_run(spark: SparkSession, base: str) -> str | None:
 def stamp(df: DataFrame, run_ts: _dt.datetime, col: str = "created_at") -> DataFrame:
     """One load timestamp per run (C7): a literal, identical on every row and task."""
     return df.withColumn(col, F.lit(run_ts).cast("timestamp"))
+
+
+def star_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A table of the star schema that was published last."""
+    line = _pointer(spark, base, "_star_current")
+    if line is None:
+        raise FileNotFoundError(f"no published star schema under {base}")
+    return spark.read.parquet(f"{base.rstrip('/')}/star/{line[1]}/{name}")

@@ -1,5 +1,6 @@
 """Whole loads: ingest, validation gate, publish, transform-only rerun, streaming feed."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -64,7 +65,10 @@ def test_unknown_member_load_passes(spark, scratch):
     staged = TB.read_table(spark, base, "staging")
     assert staged.count() == n and staged.agg(F.min("id"), F.max("id")).first() == (1, n)
     assert TB.read_table(spark, base, "companies").where(F.col("company_name") == "Unknown").count() == 1
-    assert os.path.isdir(TB.run_path(base, rep.run_id, "_work"))   # key tags live with the run
+    assert not os.path.isdir(TB.run_path(base, rep.run_id, "_work"))   # key tags go with the publication
+    rows = J.run_star(spark, base, dt.date(1999, 1, 1))
+    assert rows["fact_job_postings"] == rep.counts["jobs"] and rows["bridge_job_skills"] == rep.counts["job_skills"]
+    assert rows["dim_attributes"] == 8 and TB.star_table(spark, base, "dim_company").count() == rep.counts["companies"]
     assert spark.conf.get("spark.postmart.scratchDir", None) is None
     path = TB.run_path(base, rep.run_id, "jobs")
     stamps = spark.read.parquet(path).select("created_at").distinct().collect()
