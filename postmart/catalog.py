@@ -458,7 +458,7 @@ def q_text_normalize(spark, sf):
 def _lookup_one(spark, sf, dim_attr, on, keep):
     m = _m(spark, sf)
     s = FX.with_lookup_keys(FX.titled(m.staging))
-    return FX.lookup(s, getattr(m, dim_attr), on, keep).select("id", *keep)
+    return FX.lookup(s, getattr(m, dim_attr), on, keep, salt_by="id").select("id", *keep)
 
 
 def q_lookup_company(spark, sf):

@@ -4,7 +4,8 @@ The four lookups are plain left equi-joins on the same cleaning expressions the
 dimensions were built with. AQE turns each into a broadcast join when the dimension's
 measured size is under the broadcast threshold and keeps a sort-merge join (with skew
 splitting) when it is not; nothing is broadcast on faith. Keys that can be NULL are
-replaced by distinct non-matching values so NULL rows do not pile into one partition.
+replaced by distinct non-matching values, and keys that default to 'Unknown' are salted,
+so rows without a value do not pile into one partition.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (clean_company, clean_platform, clean_schedule, coalesce_title,
                               default_unknown, has_title, null_key)
+from ..schemas import UNKNOWN
 from .keys import dense_key, insert_if_absent
 
 FACT_COLUMNS = [
@@ -33,10 +35,26 @@ def count_eligible(staging: DataFrame) -> DataFrame:
     return titled(staging).agg(F.count(F.lit(1)).alias("eligible_rows"))
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], keep: list[str]) -> DataFrame:
-    """Left join ``df`` to ``dim`` where df[k] == dim[v] for each k -> v in ``on``; add ``keep``."""
+#: Copies of the 'Unknown' members that a lookup deals the rows without a value over.
+UNKNOWN_SALTS = 32
+
+
+def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], keep: list[str], salt_by: str | None = None) -> DataFrame:
+    """Left join ``df`` to ``dim`` where df[k] == dim[v] for each k -> v in ``on``; add ``keep``.
+
+    With ``salt_by`` the keys that default to 'Unknown', which may hold a large part of all
+    rows, are dealt over UNKNOWN_SALTS salts.
+    """
     right = dim.select(*[F.col(v).alias(k) for k, v in on.items()], *keep)
-    return df.join(right, list(on.keys()), "left")
+    keys = list(on.keys())
+    if salt_by is None:
+        return df.join(right, keys, "left")
+    hot = F.lit(False)
+    for k in keys:
+        hot = hot | F.coalesce(F.col(k) == UNKNOWN, F.lit(False))
+    left = df.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(salt_by), F.lit(UNKNOWN_SALTS))).otherwise(0).cast("int"))
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(UNKNOWN_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(right.withColumn("_salt", F.explode(salts)), [*keys, "_salt"], "left").drop("_salt")
 
 
 def with_lookup_keys(staging: DataFrame) -> DataFrame:
@@ -63,8 +81,8 @@ def fact_jobs(staging: DataFrame, companies: DataFrame, locations: DataFrame, pl
         # NULL and blank names both resolve to the 'Unknown' member.
         companies = with_unknown_company(companies)
         s = s.withColumn("_company_key", F.coalesce(F.nullif(F.col("_company_key"), F.lit("")), F.lit("Unknown")))
-    j = lookup(s, companies, {"_company_key": "company_name"}, ["company_id"])
-    j = lookup(j, locations, {"_country_key": "country", "_location_key": "full_location"}, ["location_id"])
+    j = lookup(s, companies, {"_company_key": "company_name"}, ["company_id"], salt_by="id")
+    j = lookup(j, locations, {"_country_key": "country", "_location_key": "full_location"}, ["location_id"], salt_by="id")
     j = lookup(j, platforms, {"_platform_key": "platform_name"}, ["platform_id"])
     j = lookup(j, schedules, {"_schedule_key": "schedule_type_name"}, ["schedule_type_id"])
     projected = j.select(

@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import null_key
 from .keys import dense_key
 
 # Fixed labels of the junk dimension's combination name.
@@ -128,7 +129,10 @@ def star_fact_postings(jobs: DataFrame, bridge: DataFrame, location_map: DataFra
     """
     flags = posting_flags(jobs)
     counts = bridge.groupBy("job_id").agg(F.count(F.lit(1)).alias("skill_count"))
-    f = (jobs.join(location_map, "location_id", "left")
+    # NULL keys become values that match nothing, spread over all partitions.
+    f = (jobs.withColumns({"location_id": F.coalesce("location_id", -F.col("job_id")),
+                           "job_title_short": null_key("job_title_short", "job_id")})
+         .join(location_map, "location_id", "left")
          .join(titles.select("job_title_short", "title_key"), "job_title_short", "left")
          .join(counts, "job_id", "left"))
     full_date = F.to_date("job_posted_date")
