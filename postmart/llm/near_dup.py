@@ -1,7 +1,7 @@
 """Near-duplicate classes by ProbMinHash.
 
-A text is its 5-word shingles (words are runs of letters and digits without case) weighted by
-their counts; a text of fewer words is one shingle. Signatures come from Poisson processes: every
+A text is its 5-word shingles (words are runs of letters and digits without case), each with the
+weight 1 + log2(count) / 4: a line said hundreds of times must not outweigh all others. A text of fewer words is one shingle. Signatures come from Poisson processes: every
 shingle sends arrivals at a rate equal to its weight, each to one of 256 registers, until its next
 arrival is later than all registers hold; a register keeps the shingle that came first. Registers
 of two texts agree with the probability Jaccard similarity of the weighted sets.
@@ -15,8 +15,8 @@ of two texts agree with the probability Jaccard similarity of the weighted sets.
    first, then exactly, inside the task; only links are written. So no link that banding finds is lost.
 4. Components of all links are the classes.
 
-Two texts are linked when their shingle sets have a Jaccard similarity, or their weighted
-shingles a probability Jaccard similarity, of at least ``threshold``.
+Two texts are linked when their shingle sets have a Jaccard similarity of at least ``threshold``;
+the weights only steer which pairs are looked at.
 
 Defined results: one row per row of documents with its class, named after the smallest doc_id in
 it (null where no member has one); texts without words are in one class only with equal texts,
@@ -76,14 +76,14 @@ def _sums64(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def weighted(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, sorted: (hash, count, first of each text)."""
+    """Distinct shingles of each text, sorted: (hash, weight, first of each text)."""
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     order = np.lexsort((hashes, doc))
     h = hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
-    return h[at], np.diff(np.append(at, len(h))), np.searchsorted(doc[at], np.arange(len(first)))
+    return h[at], 1 + np.log2(np.diff(np.append(at, len(h)))) / 4, np.searchsorted(doc[at], np.arange(len(first)))
 
 
 def prob_min_hash(h: np.ndarray, weight: np.ndarray, first: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
@@ -123,34 +123,24 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return tv.mix(part + tv.mix(np.arange(part.shape[1], dtype=np.uint64) + np.uint64(1)))
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The larger of the Jaccard similarity of the sets and the probability Jaccard of the weighted sets."""
-    (ha, wa), (hb, wb) = a, b
-    if not len(ha) or not len(hb):
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted arrays of distinct shingles."""
+    if not len(a) or not len(b):
         return 0.0
-    at = np.searchsorted(hb, ha)
-    at[at == len(hb)] = 0
-    both = hb[at] == ha
-    n = int(both.sum())
-    plain = n / (len(ha) + len(hb) - n)
-    if not n or (wa.max() == 1 and wb.max() == 1):
-        return plain
-    x, y = wa[both].astype(float), wb[at[both]].astype(float)
-    only_x, only_y = wa.sum() - x.sum(), wb.sum() - y.sum()
-    order = np.argsort(-(x / y), kind="stable")       # sum_j max(x_j/x_i, y_j/y_i) splits at i in this order
-    x, y = x[order], y[order]
-    above, below = np.cumsum(x) + only_x, y.sum() - np.cumsum(y) + only_y
-    return max(plain, float((1 / (above / x + below / y)).sum()))
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    n = int((b[at] == a).sum())
+    return n / (len(a) + len(b) - n)
 
 
 def _texts(batch_column):
-    """Weighted shingles of each text of a column, one after the other."""
+    """Distinct shingles of each text of a column, one text after the other."""
     data, offsets = tv.strings(batch_column)
     for a, b in tv.slices(offsets):
         hashes, first, _, _ = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        h, w, first = weighted(hashes, first)
+        h, _, first = weighted(hashes, first)
         for i in range(b - a):
-            yield h[first[i]:first[i + 1]], w[first[i]:first[i + 1]]
+            yield h[first[i]:first[i + 1]]
 
 
 def _rows(docs: DataFrame, keep: list[str]) -> DataFrame:

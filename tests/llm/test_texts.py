@@ -106,6 +106,14 @@ def edited(rnd, words, n):
     return " ".join(words)
 
 
+def test_a_line_said_often_makes_no_duplicates(frame):
+    """Texts that share one line of hundreds of repeats and little else are not near duplicates."""
+    rnd = random.Random(9)
+    line = " ".join(["ha ho hi hu he"] * 300)
+    rows = [(k, line + " " + " ".join(f"u{rnd.randint(0, 10 ** 6)}" for _ in range(60))) for k in range(30)]
+    assert {r.class_size for r in near_dup.near_duplicates(frame(rows)).collect()} == {1}
+
+
 def near_rows():
     rnd = random.Random(3)
     rows = [(0, None), (1, ""), (2, "!!"), (3, "??"), (4, "one two"), (5, "One, two!"), (6, "one two three"), (7, "!!")]
@@ -151,10 +159,10 @@ def test_signatures_estimate_probability_jaccard():
         wa, wb = (dict(zip(h[first[j]:first[j + 1]].tolist(), w[first[j]:first[j + 1]].tolist())) for j in (k, k + 1))
         want = sum(1 / sum(max(wa.get(q, 0) / wa[i], wb.get(q, 0) / wb[i]) for q in {*wa, *wb})
                    for i in {*wa} & {*wb}) if len(wa) < 700 else None
-        close = near_dup.similarity(*((h[first[j]:first[j + 1]], w[first[j]:first[j + 1]]) for j in (k, k + 1)))
+        close = near_dup.similarity(*(h[first[j]:first[j + 1]] for j in (k, k + 1)))
         if want is not None:
             plain = len({*wa} & {*wb}) / len({*wa, *wb})
-            assert close == pytest.approx(max(want, plain))
+            assert close == pytest.approx(plain)
             assert abs((signs[k] == signs[k + 1]).mean() - want) < 0.13
 
 
