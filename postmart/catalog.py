@@ -186,10 +186,8 @@ def _size(c: str, out: str) -> F.Column:
 
 
 def _fact_out() -> list:
-    return ["job_id", "job_title", "job_title_short", "company_id", "location_id", "platform_id",
-            "schedule_type_id", "job_work_from_home", _ts("job_posted_date"), "job_no_degree_mention",
-            "job_health_insurance", "salary_rate", _dbl("salary_year_avg"), _dbl("salary_hour_avg"),
-            "search_location"]
+    shown = {"job_posted_date": _ts, "salary_year_avg": _dbl, "salary_hour_avg": _dbl}
+    return [shown[c](c) if c in shown else F.col(c) for c in FX.FACT_COLUMNS]
 
 
 def _m(spark, sf) -> Mart:
@@ -445,9 +443,8 @@ def q_default_unknown(spark, sf):
 
 def q_fact_projection(spark, sf):
     s = FX.titled(_m(spark, sf).staging)
-    return s.select("id", X.coalesce_title("job_title", "job_title_short").alias("job_title"), "job_title_short",
-                    "job_work_from_home", _ts("job_posted_date"), "job_no_degree_mention", "job_health_insurance",
-                    "salary_rate", _dbl("salary_year_avg"), _dbl("salary_hour_avg"), "search_location")
+    own = s.withColumn("job_title", X.coalesce_title("job_title", "job_title_short"))
+    return own.select("id", *[c for c, name in zip(_fact_out(), FX.FACT_COLUMNS) if not name.endswith("_id")])
 
 
 def q_text_normalize(spark, sf):

@@ -15,14 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (clean_company, clean_platform, clean_schedule, coalesce_title,
                               default_unknown, has_title, null_key)
-from ..schemas import UNKNOWN
+from ..schemas import TARGET_SCHEMAS, UNKNOWN
 from .keys import dense_key, insert_if_absent
 
-FACT_COLUMNS = [
-    "job_id", "job_title", "job_title_short", "company_id", "location_id", "platform_id",
-    "schedule_type_id", "job_work_from_home", "job_posted_date", "job_no_degree_mention",
-    "job_health_insurance", "salary_rate", "salary_year_avg", "salary_hour_avg", "search_location",
-]
+FACT_COLUMNS = TARGET_SCHEMAS["jobs"].names
 
 
 def titled(staging: DataFrame) -> DataFrame:
