@@ -8,11 +8,11 @@ on a cluster.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -24,7 +24,9 @@ def get_spark(app: str = "postmart", cpus: int | str = "*", shuffle_partitions:
     shuffle partitions stay as they are.
     """
     builder = SparkSession.builder.appName(app)
-    if not SparkConf().contains("spark.master"):
+    # spark-submit starts the JVM first and names its port; its master then holds.
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if not submitted and SparkSession.getActiveSession() is None:
         parts = shuffle_partitions or (8 if cpus == "*" else max(int(cpus), 1))
         builder = (builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(parts))
                    .config("spark.driver.memory", "16g"))
