@@ -1,11 +1,11 @@
 """WARC archives with revisit resolution.
 
 1. Every page becomes a record: payload (the html in UTF-8), its SHA-1 in base 32, its size.
-   Records are written once, with a number, so that a rerun sees the same ones.
+   The headers are written once.
 2. Headers alone are shuffled by digest: of records with equal payloads of at least
    ``least_bytes`` the one with the largest page_id is the original, the others revisit it. The
-   originals are a grouped maximum (combined before the shuffle); hot digests are joined
-   back over salts.
+   originals are a grouped maximum (combined before the shuffle); records are joined to them
+   by digest, hot digests over salts.
 3. Archives are written with fresh headers, a response with its payload, a revisit with the
    original's record id and no payload. Spark's text sink writes them: one row per record, the
    separator of rows being the blank lines that end a record, gzip-compressed and committed by task.
@@ -25,7 +25,7 @@ import hashlib
 import io
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postmart.session import fresh_dir
@@ -41,57 +41,68 @@ HEADERS = ("record_id string, record_type string, page_id long, url string, payl
            "content_bytes long, refers_to_id string")
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest and number of every page, written once."""
+def digests(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, payload_bytes and payload_digest of every page."""
     def run(batches):
         for batch in batches:
             raw = [(h or "").encode() for h in batch.column(2).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(map(len, raw), pa.int64()),
-                                   pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in raw])],
+                                   pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in raw], pa.string())],
                                   names=["page_id", "url", "html", "payload_bytes", "payload_digest"])
-    return cut(pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-               .mapInArrow(run, "page_id long, url string, html string, payload_bytes long, payload_digest string")
-               .withColumn("number", F.monotonically_increasing_id()), "records")
+    return (pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+            .mapInArrow(run, "page_id long, url string, html string, payload_bytes long, payload_digest string"))
 
 
 def resolve(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """(number, original) of the records that revisit another, for (number, page_id, payload_bytes, payload_digest)."""
-    groups = (headers.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest")
-              .agg(F.max(F.struct("page_id", "number")).alias("top"), F.count("*").alias("n")).where("n > 1"))
-    originals = groups.select("payload_digest", F.col("top.number").alias("original"))
-    hot = spread_keys(groups.select("payload_digest", "n"), "payload_digest", "n")
-    return (join_spread(headers.select("number", "payload_digest"), originals, "payload_digest", hot, ["number"])
-            .where("number <> original").select("number", "original"))
+    """Digests of several records of at least ``least_bytes``: (payload_digest, original, equal, n).
+
+    ``original`` is the largest page_id, ``equal`` the number of records that have it, ``n`` that of all.
+    """
+    return (headers.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "page_id")
+            .agg(F.count("*").alias("n")).groupBy("payload_digest")
+            .agg(F.max(F.struct("page_id", "n")).alias("top"), F.sum("n").alias("n")).where("n > 1")
+            .select("payload_digest", F.col("top.page_id").alias("original"), F.col("top.n").alias("equal"), "n"))
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
     """Write deduplicated gzip-compressed archives of (page_id, url, html) to ``path``."""
-    found = records(pages)
-    revisits = resolve(found.drop("html", "url"), least_bytes)
-
-    def identity(number):
-        return F.regexp_replace(F.md5(F.concat(F.lit("record-"), number.cast("string"))),
-                                "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
+    groups = cut(resolve(cut(digests(pages).drop("html", "url"), "headers"), least_bytes), "originals")
+    hot = spread_keys(groups.select("payload_digest", "n"), "payload_digest", "n")
+    found = join_spread(digests(pages), groups.select("payload_digest", "original", "equal"), "payload_digest", hot,
+                        ["page_id", "url"], "left")
+    grouped, first = F.col("equal").isNotNull(), F.col("page_id").eqNullSafe(F.col("original"))
+    if groups.where("equal > 1").take(1):  # of records equal in page_id too, one is the response
+        tied = grouped & first & (F.col("equal") > 1)
+        order = F.row_number().over(Window.partitionBy("payload_digest").orderBy("url"))
+        found = (found.where(~F.coalesce(tied, F.lit(False))).withColumn("again", grouped & ~first)
+                 .unionByName(found.where(tied).withColumn("again", order > 1)))
+    else:
+        found = found.withColumn("again", grouped & ~first)
+
+    def identity(name):
+        return F.regexp_replace(F.md5(name), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
 
     def line(name, value):
         return F.when(value.isNull(), "").otherwise(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")))
-    again = F.col("original").isNotNull()
+    again = F.col("again")
+    of_payload = identity(F.concat(F.lit("payload-"), "payload_digest"))  # one response stands for a digest
+    own = identity(F.concat(F.lit("record-"), F.monotonically_increasing_id().cast("string")))
     # A line end within a URL would end its header.
     clean = F.regexp_replace("url", "[\\r\\n]", " ")
     record = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(again, "revisit").otherwise("response")),
-        line("WARC-Record-ID", identity(F.col("number"))),
+        line("WARC-Record-ID", F.when(again | (F.col("payload_bytes") < least_bytes), own).otherwise(of_payload)),
         line("WARC-Date", F.lit(DATE)),
         line("WARC-Target-URI", clean),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
-        line("WARC-Refers-To", F.when(again, identity(F.col("original")))),
+        line("WARC-Refers-To", F.when(again, of_payload)),
         line("WARC-Profile", F.when(again, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         line("X-Page-ID", F.col("page_id").cast("string")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(again, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string")),
         F.lit("\r\n"), F.when(again, "").otherwise(F.coalesce("html", F.lit(""))))
-    (found.join(revisits, "number", "left").select(record.alias("value"))
+    (found.select(record.alias("value"))
      .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
