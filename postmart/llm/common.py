@@ -51,7 +51,7 @@ def spread_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
     such share, so no salted key holds more than that.
     """
     total = counts.agg(F.sum(n)).first()[0] or 0
-    share = max(total // HOT_SHARE, 1000)
+    share = max(total // HOT_SHARE, 256)
     return (counts.where(F.col(n) > share)
             .select(key, (F.ceil(F.col(n) / share)).cast("int").alias("_salts")))
 

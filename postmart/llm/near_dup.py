@@ -208,10 +208,9 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
     return members.join(leaders, "band").where("leader <> node").select("leader", "node").distinct()
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (leader, node) pairs whose texts are similar. ``texts``: (node, text)."""
-    sizes = pairs.groupBy("leader").agg(F.count("*").alias("n"))
-    dealt = pairs.join(sizes, "leader").select(
+def verify(pairs: DataFrame, sizes: DataFrame, hot: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The (leader, node) pairs whose texts are similar. ``sizes``: (leader, n), ``hot``: its hot leaders, ``texts``: (node, text)."""
+    dealt = join_spread(pairs, sizes, "leader", hot, ["node"]).select(
         "leader", "node", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP)).alias("part"))
     heads = dealt.select("leader", "part").distinct().withColumn("node", F.col("leader"))
     rows = (dealt.select("leader", "part", "node", F.lit(1).alias("kind"))
@@ -277,7 +276,7 @@ def _cross_links(threshold: float):
     return run
 
 
-def cross_links(pairs: DataFrame, parts: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def cross_links(pairs: DataFrame, hot: DataFrame, parts: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Links among the nodes that met one leader and are in different components.
 
     ``parts``: (node, component) of nodes with a link. Nodes of the leader's own component are
@@ -285,7 +284,7 @@ def cross_links(pairs: DataFrame, parts: DataFrame, nodes: DataFrame, threshold:
     """
     spark = pairs.sparkSession
     own = parts.withColumnRenamed("node", "leader").withColumnRenamed("component", "main")
-    met = (pairs.join(parts, "node", "left").join(own, "leader", "left")
+    met = (join_spread(pairs.join(parts, "node", "left"), own, "leader", hot, ["node"], "left")
            .select("leader", "node", F.coalesce("component", "node").alias("component"),
                    F.coalesce("main", "leader").alias("main"))
            .withColumn("other", (F.col("component") != F.col("main")).cast("int")))
@@ -295,7 +294,7 @@ def cross_links(pairs: DataFrame, parts: DataFrame, nodes: DataFrame, threshold:
              .select("leader", F.ceil(F.col("others") / BLOCK).alias("x"),
                      F.ceil((F.col("n") - F.col("others")) / BLOCK).alias("y")))
     # Blocks 0 to x-1 hold the others, x to x+y-1 the main component; pairs (i, j) with i < x and i <= j.
-    placed = met.join(sizes, "leader").withColumn("block", F.when(
+    placed = join_spread(met, sizes, "leader", hot, ["node"]).withColumn("block", F.when(
         F.col("other") == 1, F.pmod(F.xxhash64("node"), F.col("x"))).otherwise(
         F.col("x") + F.pmod(F.xxhash64("node"), F.col("y"))))
     mate = F.when(F.col("other") == 1, F.sequence(F.lit(0).cast("long"), F.col("x") + F.col("y") - 1)).otherwise(
@@ -323,9 +322,11 @@ def classify(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -
     bodies = _texts_of(docs, id_bitmap(paired, "mark")).dropDuplicates(["key"]).join(
         paired.select("key", "node"), "key")
     nodes = cut(bodies.select("node", "text").join(rows, "node"), "paired")
-    links = cut(verify(pairs, nodes.select("node", "text"), threshold), "links")
+    sizes = cut(pairs.groupBy("leader").agg(F.count("*").alias("n")), "leaders")
+    hot = spread_keys(sizes, "leader", "n")
+    links = cut(verify(pairs, sizes, hot, nodes.select("node", "text"), threshold), "links")
     parts = components(links)
-    more = cut(cross_links(pairs, parts, nodes, threshold), "links")
+    more = cut(cross_links(pairs, hot, parts, nodes, threshold), "links")
     if more.take(1):  # the components so far stand for the links that made them
         parts = components(parts.selectExpr("node AS a", "component AS b").unionByName(more))
     return (texts.join(parts, "node", "left")
