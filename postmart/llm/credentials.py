@@ -41,7 +41,7 @@ LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 # Names may be the end of longer ones (DB_HOST, AWS_ACCESS_KEY_ID); a value may follow its '=' at once.
 IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9])(?:client_?id|access_?key(?:_?id)?|account(?:_?id|_?name)?|user_?name|login)["']?\x20*[:=]\x20*"""
                         r"""["']?([A-Za-z0-9@._-]{4,})""", re.I | re.A)
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""(?<![A-Za-z0-9])(?:host|endpoint|server|url|uri)["']?\x20*[:=]\x20*["']?"""
                       r"""([A-Za-z0-9][A-Za-z0-9.:/_-]{3,})""", re.I | re.A)
 
