@@ -3,8 +3,8 @@
 Words are runs of letters and digits without case. Windows of ``seed`` words that a document
 shares with an item are the seeds: a bitmap of fixed size, gathered from the items' windows,
 lets a document's other windows go before anything is shuffled; what passes is joined to the
-items' windows exactly. A (document, item) pair whose shared windows could reach the threshold
-is tiled: Karp-Rabin window hashes give all common strings of at least ``seed`` words, the
+items' windows exactly. A (document, item) pair whose shared windows, each counted at all its places in
+the item, could reach the threshold is tiled: Karp-Rabin window hashes give all common strings of at least ``seed`` words, the
 longest unmarked one is marked on both sides, again and again. The share of an item's words
 that is marked is its coverage, whatever the order of the passages in the document.
 
@@ -29,6 +29,7 @@ from .common import cut
 SEED = 5
 THRESHOLD = 0.5
 BITMAP_BITS = 24  # 2 MiB, whatever the benchmark's size
+MOST_PAIRS = 1 << 20  # window pairs looked at together when two texts are tiled
 
 HITS = "doc_id long, words binary, seeds array<long>"
 RESULT = ("row long, item_id long, coverage double, matched_words long, item_words long, n_tiles long, "
@@ -45,7 +46,10 @@ def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _rows(batches, seed: int, bitmap: np.ndarray | None):
-    """Rows of HITS for (id, text): of all texts with a window, or of those with a window in the bitmap."""
+    """Rows of HITS for (id, text): of all texts with a window, or of those with a window in the bitmap.
+
+    With a bitmap the seeds are distinct, without they are there once for each place.
+    """
     for batch in batches:
         data, offsets = tv.strings(batch.column(1))
         for a, b in tv.slices(offsets):
@@ -54,34 +58,43 @@ def _rows(batches, seed: int, bitmap: np.ndarray | None):
             hit = np.ones(len(hashes), bool) if bitmap is None else _marked(bitmap, hashes)
             rows = np.flatnonzero(tv.sums(hit, first))
             if len(rows):
-                seeds = [np.unique(hashes[first[i]:first[i + 1]][hit[first[i]:first[i + 1]]]).view(np.int64)
-                         for i in rows]
+                own = [hashes[first[i]:first[i + 1]][hit[first[i]:first[i + 1]]] for i in rows]
+                seeds = [(h if bitmap is None else np.unique(h)).view(np.int64) for h in own]
                 yield pa.record_batch([
                     batch.column(0).take(pa.array(a + rows)).cast(pa.int64()),
                     pa.array([words[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary()),
                     pa.array(seeds, pa.list_(pa.int64()))], names=["doc_id", "words", "seeds"])
 
 
-def common_strings(doc: np.ndarray, item: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
-    """Maximal common strings of at least ``seed`` words: (length, place in item, place in document)."""
+def common_strings(doc: np.ndarray, item: np.ndarray, seed: int, most: int = MOST_PAIRS) -> list[tuple[int, int, int]]:
+    """Maximal common strings of at least ``seed`` words: (length, place in item, place in document).
+
+    Pairs of equal windows are looked at about ``most`` at a time; of those only the first and the
+    last of each string stay, so texts that say one thing all over need no room for all pairs.
+    """
     whole = np.array([0, len(doc)]), np.array([0, len(item)])
     of_doc, of_item = (tv.windows(w, at, seed)[0] for w, at in zip((doc, item), whole))
     order = np.argsort(of_item, kind="stable")
     left = np.searchsorted(of_item[order], of_doc, side="left")
     many = np.searchsorted(of_item[order], of_doc, side="right") - left
     where = np.flatnonzero(many)
-    many = many[where]
     if not len(where):
         return []
-    i = np.repeat(where, many)
-    j = order[np.repeat(left[where], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-    by = np.lexsort((i, i - j))                     # along diagonals
-    i, j = i[by], j[by]
-    new = np.ones(len(i), bool)
-    new[1:] = (i[1:] - j[1:] != i[:-1] - j[:-1]) | (i[1:] != i[:-1] + 1)
-    at = np.flatnonzero(new)
-    length = np.diff(np.append(at, len(i))) + seed - 1
-    return list(zip(length.tolist(), j[at].tolist(), i[at].tolist()))
+    many = many[where]
+    slices = np.flatnonzero(np.diff((np.cumsum(many) - 1) // most)) + 1
+    begins, ends = [], []
+    for some, count in zip(np.split(where, slices), np.split(many, slices)):
+        i = np.repeat(some, count)
+        j = order[np.repeat(left[some], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+        begin = (i == 0) | (j == 0) | (of_doc[i - 1] != of_item[j - 1])
+        end = np.ones(len(i), bool)
+        inside = np.flatnonzero((i < len(of_doc) - 1) & (j < len(of_item) - 1))
+        end[inside] = of_doc[i[inside] + 1] != of_item[j[inside] + 1]
+        begins.append((i[begin], j[begin]))
+        ends.append((i[end], j[end]))
+    (i, j), (last, at) = ([np.concatenate(c) for c in zip(*x)] for x in (begins, ends))
+    by, to = np.lexsort((i, i - j)), np.lexsort((last, last - at))  # along diagonals, where begins and ends alternate
+    return list(zip((last[to] - i[by] + seed).tolist(), j[by].tolist(), i[by].tolist()))
 
 
 def tile(doc: np.ndarray, item: np.ndarray, seed: int = SEED) -> list[tuple[int, int, int]]:
@@ -134,8 +147,9 @@ def judge(docs: DataFrame, items: DataFrame, keep: list[str], seed: int, thresho
     item_rows = cut(items.select(F.col("item_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
                     .mapInArrow(lambda batches: _rows(batches, seed, None), HITS)
                     .withColumn("item", F.monotonically_increasing_id()), "items")
-    windows = item_rows.select("item", (F.octet_length("words") / 8).cast("long").alias("item_words"),
-                               F.explode("seeds").alias("seed"))
+    windows = (item_rows.select("item", (F.octet_length("words") / 8).cast("long").alias("item_words"),
+                                F.explode("seeds").alias("seed"))
+               .groupBy("item", "item_words", "seed").agg(F.count("*").alias("places")))
     bits = [F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
             for s in (64 - BITMAP_BITS, 64 - 2 * BITMAP_BITS)]
     found = (windows.select(F.explode(F.array(*bits)).alias("at"))
@@ -145,9 +159,9 @@ def judge(docs: DataFrame, items: DataFrame, keep: list[str], seed: int, thresho
     bitmap[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
     tagged = _tag(docs, keep, seed, spark.sparkContext.broadcast(bitmap), with_text)
     hits = tagged.where("words IS NOT NULL")
-    # A tile of n words holds n - seed + 1 windows, so c shared windows cover at most c * seed words.
+    # A tile of n words holds n - seed + 1 windows, so c places of shared windows in the item cover at most c * seed words.
     pairs = (hits.select("row", F.explode("seeds").alias("seed")).join(windows, "seed")
-             .groupBy("row", "item").agg(F.count("*").alias("n"), F.first("item_words").alias("item_words"))
+             .groupBy("row", "item").agg(F.sum("places").alias("n"), F.first("item_words").alias("item_words"))
              .where(F.col("n") * seed >= F.col("item_words") * threshold).select("row", "item"))
 
     def run(batches):

@@ -213,3 +213,46 @@ def test_contamination(frame, spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
     assert contamination.contaminated(frame([]), items).count() == 0
     assert contamination.contaminated(frame(rows), items.limit(0)).count() == 0
+
+
+def test_repetitive_items_equal_brute_force(frame, spark):
+    """Items whose distinct windows are few: words, lists and refrains said again and again."""
+    rnd = random.Random(7)
+    texts = ["ja " * 40, "la li lu " * 14, "0 1 0 0 " * 12, "so it goes and on it goes again " * 11 + "the end",
+             " ".join(rnd.choice("ab") for _ in range(60)), " ".join(f"u{k}" for k in range(30))]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    other = " ".join(f"o{k}" for k in range(50))
+    rows = [(k, f"{other} {t} {other}") for k, t in enumerate(texts)]
+    rows += [(10 + k, " ".join(t.split()[:len(t.split()) * part // 100])) for k, t in enumerate(texts) for part in (45, 55)]
+    rows += [(20, "ja " * 19), (21, "ja " * 20), (22, other), (23, f"ja ja ja ja ja {other} " * 4)]
+    want = set()
+    for i, t in rows:
+        for k, item in enumerate(texts):
+            n = brute_tiles(t.split(), item.split(), contamination.SEED)
+            if n >= contamination.THRESHOLD * len(item.split()):
+                want.add((i, k, n, len(t)))
+    length = collections.Counter((i, len(t)) for i, t in rows)
+    got = [(r.doc_id, r.item_id, r.matched_words) for r in contamination.contaminated(frame(rows), items).collect()]
+    assert sorted(got) == sorted((i, k, n) for i, k, n, size in want for _ in range(length[i, size]))
+    assert {(k, k) for k in range(len(texts))} <= {(i, k) for i, k, _, _ in want}
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_common_strings_in_slices(most):
+    """Whatever the slices, all maximal common strings; a long run of one word against another takes little memory."""
+    rnd = random.Random(13)
+    for _ in range(150):
+        doc, item = ([rnd.randint(1, 2) for _ in range(rnd.randint(0, 25))] for _ in range(2))
+        want = []
+        for j in range(len(item)):
+            for i in range(len(doc)):
+                n = 0
+                while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n]:
+                    n += 1
+                if n >= 3 and not (i and j and doc[i - 1] == item[j - 1]):
+                    want.append((n, j, i))
+        got = contamination.common_strings(np.array(doc, np.uint64), np.array(item, np.uint64), 3, most)
+        assert sorted(got) == sorted(want)
+    if most > 100:
+        one = np.ones(20000, np.uint64)
+        assert len(contamination.common_strings(one, one[:2000], 5)) == 20000 + 2000 - 2 * 5 + 1
