@@ -73,6 +73,20 @@ def test_repetition_verdict(frame):
     assert repetition.repetition_rules(frame([])).count() == 0
 
 
+def test_covered_fraction_alone_rejects(frame):
+    """A passage of 100 words said four times in 1,000 passes the base rules and the limit on one repeat."""
+    own = [f"w{k}" for k in range(600)]
+    passage = [f"p{k}" for k in range(100)]
+
+    def text(times):
+        return " ".join(w for k in range(6) for w in own[100 * k:100 * k + 100] + passage * (k < times))
+    rows = [(1, text(4)), (2, text(2)), (3, text(0)), (4, text(4) + " " + " ".join(f"t{k}" for k in range(600)))]
+    got = {r.doc_id: r for r in repetition.repetition_rules(frame(rows)).collect()}
+    assert not got[1].base_failed and got[1].longest_repeat == 100 and got[1].covered_words == 400 and not got[1].kept
+    assert got[2].covered_words == 200 and not got[2].base_failed and got[2].kept == (200 <= repetition.MOST_COVERED * 800)
+    assert got[3].kept and got[4].kept and got[4].covered_words == 400
+
+
 def shingle_sets(rows):
     out = []
     for _, t in rows:
