@@ -1,10 +1,11 @@
 """Near-duplicate classes by ProbMinHash.
 
-A text is its 5-word shingles (words are runs of letters and digits without case), each with the
-weight 1 + log2(count) / 4: a line said hundreds of times must not outweigh all others. A text of fewer words is one shingle. Signatures come from Poisson processes: every
-shingle sends arrivals at a rate equal to its weight, each to one of 256 registers, until its next
-arrival is later than all registers hold; a register keeps the shingle that came first. Registers
-of two texts agree with the probability Jaccard similarity of the weighted sets.
+A text is the set of its 5-word shingles (words are runs of letters and digits without case). A text
+of fewer words is one shingle. Signatures come from Poisson processes: every shingle sends arrivals
+at a rate equal to its weight, each to one of 256 registers, until its next arrival is later than all
+registers hold; a register keeps the shingle that came first. Registers of two texts agree with the
+probability Jaccard similarity of the weighted sets. All weights are 1, however often a shingle is
+said, so that this is the Jaccard similarity that links are judged by.
 
 1. Texts of equal words are one node; nodes only are compared.
 2. Bands of 8 registers deal the nodes into buckets. In each bucket all members are verified
@@ -12,11 +13,11 @@ of two texts agree with the probability Jaccard similarity of the weighted sets.
    shingles: a star, not all pairs.
 3. Verified links give components. Where the members that met one leader are still in different
    components, those members are compared with each other in blocks of BLOCK nodes: signatures
-   first, then exactly, inside the task; only links are written. So no link that banding finds is lost.
+   first, then exactly, inside the task; only links are written. The signatures' cut lies four
+   standard deviations below the threshold, so a link that banding finds is lost by that chance only.
 4. Components of all links are the classes.
 
-Two texts are linked when their shingle sets have a Jaccard similarity of at least ``threshold``;
-the weights only steer which pairs are looked at.
+Two texts are linked when their shingle sets have a Jaccard similarity of at least ``threshold``.
 
 Defined results: one row per row of documents with its class, named after the smallest doc_id in
 it (null where no member has one); texts without words are in one class only with equal texts,
@@ -158,7 +159,8 @@ def sign(docs: DataFrame, keep: list[str], with_text: bool) -> DataFrame:
             for a, b in tv.slices(offsets):
                 hashes, first, x, y = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 full = np.flatnonzero(np.diff(first))
-                signature = prob_min_hash(*weighted(hashes, np.append(first[:-1][full], first[-1])))
+                h, _, own = weighted(hashes, np.append(first[:-1][full], first[-1]))
+                signature = prob_min_hash(h, np.ones(len(h)), own)
                 of: list[bytes | None] = [None] * (b - a)
                 for i, s in zip(full.tolist(), signature):
                     of[i] = s.tobytes()

@@ -159,6 +159,34 @@ def test_near_duplicates_without_ids(frame):
     assert sorted(r.class_size for r in near_dup.near_duplicates(frame(rows)).collect()) == [1, 1, 2, 2]
 
 
+def repeated_passage_rows():
+    """Texts of 400 shingles, and each with a passage of some 100 more said 256 times."""
+    rnd = random.Random(11)
+    rows = []
+    for k in range(12):
+        body = [f"b{k}x{rnd.randint(0, 10 ** 6)}" for _ in range(404)]
+        passage = [f"p{k}x{rnd.randint(0, 10 ** 6)}" for _ in range(90)]
+        rows += [(2 * k, " ".join(body)), (2 * k + 1, " ".join(body + passage * 256))]
+    return rows
+
+
+def test_a_passage_said_often_hides_no_duplicate(frame):
+    """What is compared to find pairs is the similarity that links them, however often a shingle is said."""
+    rows = repeated_passage_rows()
+    classes = [sorted(map(str, p)) for p in zip(range(0, 24, 2), range(1, 24, 2))]
+    assert brute_classes(rows) == sorted(classes)
+    got = collections.defaultdict(list)
+    for r in near_dup.near_duplicates(frame(rows)).collect():
+        got[r.class_id].append(str(r.doc_id))
+    assert sorted(map(sorted, got.values())) == sorted(classes)
+
+
+def test_the_filter_of_cross_links_passes_linked_pairs(frame):
+    rows = near_dup.sign(frame(repeated_passage_rows()), ["doc_id"], with_text=False).collect()
+    sign = {r.doc.doc_id: np.frombuffer(r.signature, np.uint8) for r in rows}
+    assert min((sign[k] == sign[k + 1]).mean() for k in range(0, 24, 2)) >= near_dup.THRESHOLD - near_dup.SLACK
+
+
 def test_signatures_estimate_probability_jaccard():
     rnd = random.Random(1)
     texts = []
