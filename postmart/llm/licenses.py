@@ -1,7 +1,7 @@
 """Licence scans: an exact set-similarity join of text blocks with licence wordings, in DataFrame operations only.
 
-A block is a line (for one-line notices) or a paragraph, which blank lines end (for grants). A
-block contains a template when it has at least ``threshold`` of its distinct words. All
+A block is a line (for notices; with ``wrapped``, as the query asks, also two neighbouring lines) or
+a paragraph, which blank lines end (for grants). A block contains a template when it has at least ``threshold`` of its distinct words. All
 (block, template) pairs of that kind are found:
 
 1. Words of the templates are counted over all documents and numbered from rare to frequent.
@@ -37,7 +37,7 @@ WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 PHRASES = [("mit", ("mit", "license")), ("apache", ("apache", "license")), ("gpl", ("general", "public", "license"))]
 
 
-def _words(column: str) -> F.Column:
+def _words(column: str | F.Column) -> F.Column:
     return F.regexp_extract_all(column, F.lit(WORD), F.lit(0))
 
 
@@ -68,7 +68,7 @@ def word_order(words: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
 
 
-def find_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def find_licenses(docs: DataFrame, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """n_words, base places and labels, all labels and score of every row of (doc_id, text)."""
     spark = docs.sparkSession
     # lower() makes no a to z out of other characters but k, from the Kelvin sign, which no base phrase has.
@@ -96,12 +96,18 @@ def find_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .withColumn("row", F.monotonically_increasing_id()), "license_words")
 
     some = found.where("t IS NOT NULL").select("row", "t")
-    blocks = (some.select("row", F.lit("line").alias("kind"), F.posexplode(F.split("t", "\n")).alias("block", "t"))
-              .unionByName(some.select("row", F.lit("paragraph").alias("kind"),
-                                       F.posexplode(F.split("t", "\n[ \t\r]*\n")).alias("block", "t"))))
     vocabulary = _strings(order)
-    numbered = blocks.select("row", "kind", "block", F.array_sort(F.transform(
-        F.array_intersect(_words("t"), vocabulary), lambda w: F.array_position(vocabulary, w).cast("int") - 1)).alias("own"))
+
+    def own(text):
+        return F.array_sort(F.transform(F.array_intersect(_words(text), vocabulary),
+                                        lambda w: F.array_position(vocabulary, w).cast("int") - 1))
+    lines = some.select("row", F.transform(F.split("t", "\n"), own).alias("lines"))
+    two = F.expr("zip_with(slice(lines, 1, size(lines) - 1), slice(lines, 2, size(lines) - 1), "
+                 "(a, b) -> array_sort(array_union(a, b)))")  # a line and the next
+    numbered = (lines.select("row", F.lit("line").alias("kind"), F.posexplode(F.concat("lines", two) if wrapped else F.col("lines")).alias("block", "own"))
+                .unionByName(some.select("row", F.lit("paragraph").alias("kind"),
+                                         F.posexplode(F.split("t", "\n[ \t\r]*\n")).alias("block", "t"))
+                             .select("row", "kind", "block", own(F.col("t")).alias("own"))))
     least = min(math.ceil(threshold * len(ws) - 1e-9) for _, _, ws in templates)
     numbered = numbered.where(F.size("own") >= least)
     tokens = numbered.select("row", "kind", "block", "own", F.posexplode("own").alias("at", "rank"))

@@ -41,7 +41,7 @@ def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+    return licenses.find_licenses(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op8_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:

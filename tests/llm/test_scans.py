@@ -162,6 +162,46 @@ def test_licenses_equal_brute_force(frame):
     assert licenses.find_licenses(frame([])).count() == 0
 
 
+def test_the_query_finds_wrapped_notices(spark, tmp_path):
+    from postmart.llm import queries
+    docs = [(1, "Licensed under the Mozilla\nPublic License, version 2.0.")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    query = next(f for n, f in vars(queries).items() if n.startswith("op7"))
+    got = query(spark, str(tmp_path))
+    assert [(r.labels, r.score) for r in got.collect()] == [("mpl", 1.0)]
+    assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().toString())
+
+
+def brute_wrapped(text):
+    """Labels and best containment of notices in lines and in two neighbouring lines."""
+    lines, labels, score = (text or "").lower().split("\n"), set(), 0.0
+    for block in lines + [f"{a}\n{b}" for a, b in zip(lines, lines[1:])]:
+        own, best = set(re.findall(licenses.WORD, block)), None
+        for label, t in NOTICES:
+            want = set(re.findall(licenses.WORD, t.lower()))
+            share = len(own & want) / len(want)
+            if share >= licenses.THRESHOLD:
+                best, score = max(best or (0, 0, ""), (len(own & want), share, label)), max(score, share)
+        labels |= {best[2]} if best else set()
+    return labels, score
+
+
+def test_notices_wrapped_over_two_lines(frame):
+    texts = ["Use of this source code is governed by\na BSD-style license", "x\nLicensed under the Mozilla\nPublic License, version 2.0.\n",
+             "Licensed under the Mozilla\n\nPublic License, version 2.0."]
+    for _, t in NOTICES:
+        words = t.split()
+        texts += ["Intro.\n" + " ".join(words[:k]) + "\n" + " ".join(words[k:]) + "\nmore" for k in range(1, len(words))]
+    texts += ["\n".join(t for _, t in NOTICES), "\n".join(t.replace(" ", "\n", 3) for _, t in NOTICES)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in licenses.find_licenses(frame(rows), wrapped=True).collect()}
+    assert (got[0].labels, got[0].score, got[1].labels, got[2].labels) == ("bsd", 1.0, "mpl", "")
+    for k, t in rows:
+        labels, score = brute_wrapped(t)
+        assert {*got[k].labels.split(",")} - {""} == labels | ({*got[k].base_labels.split(",")} - {""}), t
+        assert got[k].score == pytest.approx(1.0 if got[k].n_base else score), t
+
+
 def test_licenses_stay_in_the_jvm(frame):
     plan = licenses.find_licenses(frame([(1, "MIT License")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
