@@ -69,6 +69,18 @@ def test_main_text(spark):
     assert extraction.main_text(make(spark, [])).count() == 0
 
 
+def test_runs_of_copies_meet_other_pages(spark):
+    """Copies under neighbouring paths lose the lines that the other pages of their host share."""
+    def page(art):
+        return f"<body><div>Top story links</div><div>{art}</div><p>Copyright Example Site</p></body>"
+    rows = [(k, f"http://h/a/{k:03d}", page(f"own line {k} of a page")) for k in range(5)]
+    rows += [(10 + k, f"http://h/b/{k:03d}", page("the same article again")) for k in range(600)]
+    rows += [(900 + k, f"http://h/c/{k:03d}", page(f"last line {k} of a page")) for k in range(5)]
+    got = {r.page_id: r.text for r in extraction.main_text(make(spark, rows)).collect()}
+    assert len(got) == 610 and got[0] == "own line 0 of a page" and got[904] == "last line 4 of a page"
+    assert {got[10 + k] for k in range(600)} == {"the same article again"}
+
+
 def test_archives(spark):
     rows = [(1, "http://a/\r\nb", "<p>x</p>\r\n\r\nWARC/1.1\r\n\r\n"), (2, None, None), (3, "u", ""), (4, "ü", "é\x00<p>"),
             (5, "u", "é\x00<p>"), (5, "u", "é\x00<p>"), (None, "n", "é\x00<p>"), (7, "7", "z" * 300000)]
