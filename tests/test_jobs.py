@@ -13,7 +13,7 @@ from postmart.sources import ingest as I
 from postmart.sources import tables as TB
 from postmart.streaming.staging_feed import staging_feed
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def write_fixture_csv(spark, path):

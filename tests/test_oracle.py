@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from sf_dirs import SF_SMALL  # noqa: E402
 
 from postmart.catalog import QUERIES as OWN  # noqa: E402
 

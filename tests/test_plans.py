@@ -10,7 +10,7 @@ from postmart.operators import bridge as B
 from postmart.operators import facts as FX
 from postmart.sources import ingest as I
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def final_plan(df) -> str:
