@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import binary_pack, bytepair, contamination, credentials, extraction, licenses, near_dup, negatives, packing, prefix_trie, quality, repetition, warc
 from .common import cut, table
+from .oracle import ORACLE
 
 
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -81,4 +82,6 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_suffix_repetition, op3_page_differencing, op4_credential_linking, op5_prob_min_hash, op6_token_matrices, op7_license_join, op8_revisit_resolution, op9_string_tiling,
     op10_factorisation_machine, op11_byte_pairs, op12_kronecker_negatives, op13_prefix_trie)}
-ORACLE: dict[str, str] = {}
+
+
+__all__ = ["QUERIES", "ORACLE"]
