@@ -68,7 +68,9 @@ class Mart:
     def raw(self) -> DataFrame:
         """Raw postings derived once from the test tables and kept as Parquet (the input file)."""
         path = f"{self.base}/raw"
-        FIX.postings_raw(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
+        # An input file stands in arrival order.
+        (FIX.postings_raw(self.spark, self.sf_dir).repartitionByRange("id").sortWithinPartitions("id")
+         .write.mode("overwrite").parquet(path))
         return self.spark.read.parquet(path)
 
     @cached_property
@@ -122,13 +124,13 @@ class Mart:
 
     @cached_property
     def jobs(self) -> DataFrame:
-        return FX.fact_jobs(self.staging, self.companies, self.locations, self.platforms, self.schedules,
-                            keep_staging_id=True)
+        return self._kept("jobs", FX.fact_jobs(self.staging, self.companies, self.locations, self.platforms, self.schedules,
+                                               keep_staging_id=True))
 
     @cached_property
     def jobs_ref(self) -> DataFrame:
-        return FX.fact_jobs(self.staging, self.companies, self.locations_ref, self.platforms, self.schedules,
-                            keep_staging_id=True)
+        return self._kept("jobs_ref", FX.fact_jobs(self.staging, self.companies, self.locations_ref, self.platforms,
+                                                   self.schedules, keep_staging_id=True))
 
     def _kept(self, name: str, df: DataFrame) -> DataFrame:
         """Write a shared intermediate once (as a load writes its tables) and scan it back."""

@@ -8,6 +8,10 @@ Parquet table in the shared scratch folder (``spark.checkpoint.dir``). The writt
 table cuts the lineage: whatever is retried or re-read later sees the same tags.
 Partition sizes come from a scan of the tag column, their running offsets - one small
 row per partition, a bounded broadcast - are added to the positions.
+
+``number_written`` gives the same numbers to a table that already stands on disk in runs of
+ascending rows, as a load in arrival order writes it, without moving the rows: a row's place is
+its file and its index in the file, which no retry or other split of the files changes.
 """
 
 from __future__ import annotations
@@ -58,6 +62,56 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], out: str, start
     return keyed.withColumn(out, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long")).drop(_PID, _POS, _OFF)
 
 
+#: Runs of ascending rows up to which their offsets (about 48 bytes each) are broadcast.
+MOST_RUNS = 200_000
+#: Rows of a file among which one task looks for runs.
+CHUNK_ROWS = 1 << 20
+_FILE, _ROW, _CHUNK = "__pm_file", "__pm_row", "__pm_chunk"
+
+
+def _runs(placed: DataFrame, order_col: str) -> DataFrame:
+    """Maximal runs of ascending ``order_col`` in each chunk of a file: first row, rows, smallest and largest value."""
+    by = Window.partitionBy(_FILE, _CHUNK).orderBy(_ROW)
+    begins = F.coalesce(F.lag(order_col).over(by) >= F.col(order_col), F.lit(True)).cast("long")
+    return (placed.select(_FILE, _CHUNK, _ROW, order_col).withColumn("_begins", begins)
+            .withColumn("_run", F.sum("_begins").over(by)).groupBy(_FILE, _CHUNK, "_run")
+            .agg(F.min(_ROW).alias("_first"), F.count(F.lit(1)).alias("_n"),
+                 F.min(order_col).alias("_low"), F.max(order_col).alias("_high")))
+
+
+def number_written(written: DataFrame, order_col: str, out: str, start: int = 1) -> DataFrame:
+    """Add ``out`` = start, start+1, ... following ``order_col`` to a Parquet table as it was read.
+
+    Only ``order_col`` and the rows' places (file and ``_metadata.row_index``) are shuffled, to
+    find the runs of ascending rows in each file. The runs' offsets, counted to be few, are
+    broadcast, and each row adds its distance from the start of its run. A table whose runs
+    overlap or are too many is numbered by ``dense_key``: the same numbers, by a sort.
+    """
+    spark = written.sparkSession
+    placed = written.select("*", F.xxhash64("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW)) \
+        .withColumn(_CHUNK, F.expr(f"{_ROW} div {CHUNK_ROWS}"))
+    files = written.select(F.col("_metadata.file_path").alias("path")).distinct().agg(
+        F.count("path").alias("paths"), F.count_distinct(F.xxhash64("path")).alias("hashes")).first()
+    if files["paths"] != files["hashes"]:
+        return dense_key(written, [order_col], out, start)
+    path = fresh_dir(spark, "runs")
+    _runs(placed, order_col).write.parquet(path)
+    runs = spark.read.parquet(path)
+    if runs.count() > MOST_RUNS:
+        return dense_key(written, [order_col], out, start)
+    earlier = Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)  # over MOST_RUNS rows at most
+    ordered = runs.select(_FILE, _CHUNK, "_first", "_n", "_low", F.max("_high").over(earlier).alias("_before"),
+                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_OFF))
+    if ordered.where("_before >= _low").limit(1).count():
+        return dense_key(written, [order_col], out, start)
+    offsets = ordered.select(F.col(_FILE).alias("_f"), F.col(_CHUNK).alias("_c"), "_first", "_n", _OFF)
+    inside = ((F.col(_FILE) == F.col("_f")) & (F.col(_CHUNK) == F.col("_c")) & (F.col(_ROW) >= F.col("_first"))
+              & (F.col(_ROW) < F.col("_first") + F.col("_n")))
+    return (placed.join(F.broadcast(offsets), inside, "inner")
+            .withColumn(out, (F.col(_OFF) + F.col(_ROW) - F.col("_first") + F.lit(start)).cast("long"))
+            .drop(_FILE, _ROW, _CHUNK, "_f", "_c", "_first", "_n", _OFF))
+
+
 def max_key(df: DataFrame, key: str) -> int:
     """Largest key in ``df`` (0 when empty): one scalar through the driver."""
     row = df.agg(F.max(key).alias("m")).first()

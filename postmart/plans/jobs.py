@@ -97,9 +97,11 @@ def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "titl
     skills = D.dim_skills(staging, categories)
     if unknown_member:
         companies = FX.with_unknown_company(companies)
+    # The bridge needs the numbered postings only, so the lookups run once, where the fact is written.
+    numbered = FX.postings(staging) if FX.one_member_per_key(dims["locations"]) else None
     jobs = FX.fact_jobs(staging, companies, dims["locations"], dims["platforms"], dims["schedule_types"],
-                        unknown_member=unknown_member, keep_staging_id=True)
-    bridge = B.bridge_job_skills(jobs, staging, skills, match=match)
+                        unknown_member=unknown_member, keep_staging_id=True, numbered=numbered)
+    bridge = B.bridge_job_skills(jobs if numbered is None else numbered, staging, skills, match=match)
     return {"companies": companies, "locations": dims["locations"], "platforms": dims["platforms"],
             "schedule_types": dims["schedule_types"], "skill_categories": categories, "skills": skills,
             "jobs": jobs, "job_skills": bridge}

@@ -53,3 +53,21 @@ def test_bridge_dedupes_staging_before_the_join(spark):
     join_at = next(i for i, line in enumerate(plan.splitlines()) if "Join [job_title" in line)
     below = "\n".join(plan.splitlines()[join_at:])
     assert "HashAggregate(keys=[job_title" in below and "skill_id" in below
+
+
+def test_job_ids_move_no_fact_columns(spark):
+    m = Mart.get(spark, SF_SMALL)
+    j = FX.fact_jobs(m.staging, m.companies, m.locations, m.platforms, m.schedules, keep_staging_id=True)
+    plan = final_plan(j)
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "company_name" in line and "salary_rate" in line]
+    assert len(scans) == 1                                          # the postings are read once
+    joins = [line for line in plan.splitlines() if "HashJoin" in line]
+    assert "SortMergeJoin" not in plan
+    for key in ("_company_key", "_location_key", "_platform_key", "_schedule_key", "__pm_file"):
+        assert len([line for line in joins if key in line]) == 1, key   # each lookup, and the runs' offsets, once
+    # nothing that carries fact columns is shuffled: what is lies below the broadcasts
+    shuffles = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert not [line for line in shuffles if "staging_id" in line or "salary_rate" in line]
+    fact = next(i for i, line in enumerate(plan.splitlines()) if line == scans[0])
+    broadcast = next(i for i, line in enumerate(plan.splitlines()) if "BroadcastExchange" in line)
+    assert fact < broadcast and not [i for i, line in enumerate(plan.splitlines()) if line in shuffles and i < fact]
