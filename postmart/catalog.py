@@ -231,13 +231,13 @@ def q_staging_scan(spark, sf):
 
 def q_parse_list(spark, sf):
     t = _m(spark, sf).text
-    return t.select("id", P.parse_list("job_skills").alias("v")).select(
+    return t.select("id", P.read_list("job_skills").alias("v")).select(
         "id", _size("v", "n_items"), F.when(F.col("v").isNotNull(), F.array_join("v", "|")).alias("items"))
 
 
 def q_parse_dict(spark, sf):
     t = _m(spark, sf).text
-    return t.select("id", F.explode(P.parse_dict("job_type_skills")).alias("category", "v")).select(
+    return t.select("id", F.explode(P.read_dict("job_type_skills")).alias("category", "v")).select(
         "id", "category", F.array_join("v", "|").alias("items"))
 
 
@@ -252,7 +252,7 @@ def q_normalize_list(spark, sf):
 
 def q_encode_json(spark, sf):
     cells = _m(spark, sf).text.select("id", _cells("job_type_skills", *BAD_DICTS))
-    return cells.select("id", P.dict_json("job_type_skills").alias("json")).where("json IS NOT NULL")
+    return cells.select("id", P.read_json("job_type_skills").alias("json")).where("json IS NOT NULL")
 
 
 def q_tri_state_bool(spark, sf):
@@ -528,10 +528,34 @@ def q_distinct_json(spark, sf):
     """Dict cells whose keys stand in the other order in every second row are the same documents."""
     turned = F.map_from_entries(F.reverse(F.map_entries("job_type_skills")))
     raw = _m(spark, sf).raw.withColumn("job_type_skills", F.when(F.col("id") % 2 == 0, turned).otherwise(F.col("job_type_skills")))
-    return FIX.to_text(raw).select(P.dict_json("job_type_skills").alias("job_type_skills")).where(
+    return FIX.to_text(raw).select(P.read_json("job_type_skills").alias("job_type_skills")).where(
         "job_type_skills IS NOT NULL").distinct()
 
 
+def q_distinct_jsonb(spark, sf):
+    """Documents that differ in spaces, key order and the form of a number (2, 2.0, 2.00) only are one."""
+    k, line = F.col("l_linenumber"), F.col("l_returnflag")
+    number = F.concat(k.cast("string"), F.when(F.col("l_orderkey") % 3 == 0, ".0").when(F.col("l_orderkey") % 3 == 1, ".00").otherwise(""))
+    text = F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit('{"n": '), number, F.lit(', "flag": ["'), line, F.lit('"]}'))).otherwise(
+        F.concat(F.lit('{"flag":["'), line, F.lit('"],"n":'), number, F.lit("}")))
+    return _m(spark, sf).table("lineitem").select(P.canonical_json(text).alias("document")).distinct()
+
+
+def q_literal_cells(spark, sf):
+    """Dict cells in the spellings that Python allows: both quotes, escapes, single values, spaces, trailing commas, repeated keys."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    spelt = {0: F.concat(F.lit("{'n': ['"), name, F.lit("', 'x',], }")), 1: F.concat(F.lit('{ "n" : [ "'), name, F.lit('" , "it\'s" ] }')),
+             2: F.concat(F.lit("{'n': ['"), name, F.lit("\\u00e9\\t\\x41', None, True, 7, -1.5]}")),
+             3: F.concat(F.lit("{'n': '"), name, F.lit("', 'm': 3}")), 4: F.concat(F.lit("{'n': ['old'], 'n': ['"), name, F.lit("']}")),
+             5: F.concat(F.lit("{'n': ['"), name, F.lit("'")), 6: F.lit("['no dict']")}
+    cell = None
+    for r, text in spelt.items():
+        cell = F.when(k % 7 == r, text) if cell is None else cell.when(k % 7 == r, text)
+    cells = _m(spark, sf).table("part").select("p_partkey", cell.alias("cell"))
+    return cells.select("p_partkey", F.explode_outer(P.read_dict("cell")).alias("key", "v")).select(
+        "p_partkey", "key", F.when(F.col("v").isNotNull(), F.array_join("v", "|", "None")).alias("items"))
+
+
 def q_set_union(spark, sf):
     pairs = D.category_skill_pairs(_m(spark, sf).staging)
     return pairs.where(F.col("item").isNotNull()).select(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import parse_dict, parse_list
+from ..functions.parse import read_dict, read_list
 from ..schemas import EMPTY_DICT_TOKENS, EMPTY_LIST_TOKENS, MONEY, RAW_COLUMNS, SALARY_RATES
 
 # ---------------------------------------------------------------------------
@@ -234,7 +234,8 @@ def data_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 
 
 # ---------------------------------------------------------------------------
-# Structure of the semi-structured columns
+# Structure of the semi-structured columns. They read cells on the JVM; ``parse_list`` /
+# ``parse_dict`` as ``parse`` read every literal that Python's own parser does.
 # ---------------------------------------------------------------------------
 
 
@@ -242,7 +243,7 @@ def _present(raw_col: str, tokens: Sequence[str]) -> Column:
     return F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(list(tokens))
 
 
-def list_structure(df: DataFrame, raw_col: str, parse=parse_list) -> DataFrame:
+def list_structure(df: DataFrame, raw_col: str, parse=read_list) -> DataFrame:
     """List-column check over all rows: present, valid and invalid cells, and NULL items.
 
     A cell is present when its raw text is not missing nor an empty-list token; it is
@@ -256,13 +257,13 @@ def list_structure(df: DataFrame, raw_col: str, parse=parse_list) -> DataFrame:
         F.coalesce(F.sum(F.size(F.filter("_p", lambda x: x.isNull()))), F.lit(0)).cast("long").alias("null_items"))
 
 
-def list_samples(df: DataFrame, raw_col: str, n: int, id_col: str = "id", parse=parse_list) -> DataFrame:
+def list_samples(df: DataFrame, raw_col: str, n: int, id_col: str = "id", parse=read_list) -> DataFrame:
     """The first ``n`` valid lists by id, for a reader: (id, items). The limit is the feature."""
     return (df.where(_present(raw_col, EMPTY_LIST_TOKENS)).select(id_col, parse(raw_col).alias("items"))
             .where("items IS NOT NULL").orderBy(id_col).limit(n))
 
 
-def dict_structure(df: DataFrame, raw_col: str, parse=parse_dict) -> DataFrame:
+def dict_structure(df: DataFrame, raw_col: str, parse=read_dict) -> DataFrame:
     """Dict-column check over all rows: present, valid and invalid cells (see ``dict_categories`` for keys)."""
     valid = F.col("_p").isNotNull()
     return df.where(_present(raw_col, EMPTY_DICT_TOKENS)).select(parse(raw_col).alias("_p")).agg(
@@ -271,7 +272,7 @@ def dict_structure(df: DataFrame, raw_col: str, parse=parse_dict) -> DataFrame:
         F.count_if(~valid).cast("long").alias("invalid"))
 
 
-def dict_categories(df: DataFrame, raw_col: str, parse=parse_dict) -> DataFrame:
+def dict_categories(df: DataFrame, raw_col: str, parse=read_dict) -> DataFrame:
     """Every key of the valid dicts with the number of cells that hold it: (category, n_cells)."""
     return (df.where(_present(raw_col, EMPTY_DICT_TOKENS)).select(F.explode(F.map_keys(parse(raw_col))).alias("category"))
             .groupBy("category").agg(F.count(F.lit(1)).cast("long").alias("n_cells")))

@@ -56,7 +56,7 @@ def read_postings_csv(spark: SparkSession, path: str, base: str | None = None, m
     landed = fresh_dir(spark, "landed")
     # Ids first (no shuffle of the rows), then the literal cells are parsed once.
     I.parse_cells(I.arrival_ids(I.scan_csv(spark, path, multiline=multiline), "id", start)).write.parquet(landed)
-    return spark.read.parquet(landed)
+    return I.mend_unread(spark.read.parquet(landed))
 
 
 def quality_report(raw: DataFrame, path: str) -> None:

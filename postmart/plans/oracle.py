@@ -457,6 +457,14 @@ SELECT i.id, i.s_name, k.skill_id FROM {ITEMS} i JOIN skills k ON lower(trim(i.s
 SELECT CAST(count(*) AS BIGINT) AS bridge_rows_before_dedupe
 FROM jobs j JOIN stg_items i ON j.job_title = i.job_title AND j.job_posted_date = i.job_posted_date""")
     o["distinct_values"] = STG + "\nSELECT DISTINCT job_location, job_country FROM stg"
+    o["distinct_jsonb"] = """SELECT DISTINCT '{"flag":["' || l_returnflag || '"],"n":' || CAST(l_linenumber AS VARCHAR) || '}' AS document
+FROM lineitem"""
+    o["literal_cells"] = """
+WITH p AS (SELECT p_partkey, p_partkey % 7 AS r, p_name AS name FROM part)
+SELECT p_partkey, CASE WHEN r < 5 THEN 'n' END AS key,
+       CASE r WHEN 0 THEN name || '|x' WHEN 1 THEN name || '|it''s' WHEN 2 THEN name || 'é' || chr(9) || 'A|None|True|7|-1.5'
+              WHEN 4 THEN name END AS items FROM p
+UNION ALL SELECT p_partkey, 'm', NULL FROM p WHERE r = 3"""
     o["distinct_json"] = STG + "\nSELECT DISTINCT tdl.json AS job_type_skills FROM tdl JOIN raw ON raw.id = tdl.k"
     o["set_union"] = STG + "\nSELECT DISTINCT category AS category_name, trim(lower(item)) AS skill_name FROM tsk"
     o["pair_dedupe"] = with_mart(f"""

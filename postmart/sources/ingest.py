@@ -2,7 +2,7 @@
 
 The CSV is read with an all-text schema (no inference pass over the data), missing
 tokens are nulled column by column, and ``stage`` turns the raw frame into the staging
-schema with JVM-side expressions only (the literal parser's rare slow path aside).
+schema with JVM-side expressions only (cells that only Python's parser reads aside).
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import (dict_json, encode_json, normalize_list, null_tokens, parse_list,
-                               to_decimal, to_timestamp, tri_state_bool)
+from ..functions.parse import (encode_json, mend_cells, normalize_list, null_tokens, read_json, read_list, to_decimal,
+                               to_timestamp, tri_state_bool, unread_dict, unread_list)
 from ..operators.keys import dense_key
 from ..schemas import FLAG_COLUMNS, PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTURED, STAGING_SCHEMA
 from ..session import fresh_dir
@@ -105,14 +105,29 @@ def create_row_id(df: DataFrame, order_cols: list[str] | None = None, out: str =
     return keyed.drop(*[c for c in ("_src_file", "_src_block", "_src_pos") if c in keyed.columns])
 
 
+#: Raw text of the cells that only Python's own parser might read, beside the parsed columns.
+UNREAD = {"job_skills": "_unread_list", "job_type_skills": "_unread_dict"}
+
+
 def parse_cells(df: DataFrame) -> DataFrame:
-    """Converter step for text input: list literal cells -> array, dict literal cells -> JSON text."""
-    out = df
-    if "job_skills" in df.columns and isinstance(df.schema["job_skills"].dataType, T.StringType):
-        out = out.withColumn("job_skills", parse_list("job_skills"))
-    if "job_type_skills" in df.columns and isinstance(df.schema["job_type_skills"].dataType, T.StringType):
-        out = out.withColumn("job_type_skills", dict_json("job_type_skills"))
-    return out
+    """Converter step for text input: list literal cells -> array, dict literal cells -> JSON text.
+
+    All on the JVM; ``UNREAD`` columns keep the text of cells that need ``mend_unread``.
+    """
+    text = [c for c in UNREAD if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
+    read = {"job_skills": read_list, "job_type_skills": read_json}
+    marks = {"job_skills": unread_list, "job_type_skills": lambda c: unread_dict(c, read_json(c))}
+    return df.select("*", *(F.when(marks[c](c), F.col(c)).alias(UNREAD[c]) for c in text)).withColumns(
+        {c: read[c](c) for c in text})
+
+
+def mend_unread(parsed: DataFrame) -> DataFrame:
+    """The written result of ``parse_cells``, its unread cells read by Python where there are any."""
+    held = {c: m for c, m in UNREAD.items() if m in parsed.columns}
+    if not held:
+        return parsed
+    return mend_cells(parsed, {c: m for c, m in held.items() if c == "job_skills"},
+                      {c: m for c, m in held.items() if c == "job_type_skills"})
 
 
 def stage(raw: DataFrame, date_format: str | list[str] | None = None) -> DataFrame:

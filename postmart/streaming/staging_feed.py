@@ -49,8 +49,11 @@ def staging_feed(spark: SparkSession, landing: str, base: str, checkpoint: str |
         batch_df.withColumn("_src_pos", F.monotonically_increasing_id()).write.mode("overwrite").parquet(staged_in)
         batch = batch_df.sparkSession.read.parquet(staged_in)
         start = _next_id(batch_df.sparkSession, base, name)
-        raw = I.parse_cells(I.arrival_ids(batch, "id", start))
+        I.parse_cells(I.arrival_ids(batch, "id", start)).write.mode("overwrite").parquet(f"{staged_in}-parsed")
+        raw = I.mend_unread(batch_df.sparkSession.read.parquet(f"{staged_in}-parsed"))
         TB.append_staging(I.stage(raw), base, batch=name)
+        for done in (staged_in, f"{staged_in}-parsed"):
+            TB.remove(batch_df.sparkSession, done)
 
     writer = (cleaned.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint or shared_dir(spark, "feed-checkpoints", "staging")))
