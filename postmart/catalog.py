@@ -266,6 +266,15 @@ def q_to_timestamp(spark, sf):
     return r.select("id", P.to_timestamp("job_posted_date").cast("string").alias("job_posted_date"))
 
 
+def q_infer_timestamp(spark, sf):
+    """Dates written as day.month.year or month/day/year, each column in its one format, which is inferred."""
+    o = _m(spark, sf).table("orders")
+    day, month = "d.M.yyyy", "M/d/yyyy HH:mm"
+    text = o.select("o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, "n/a").otherwise(F.date_format("o_orderdate", day)).alias("a"),
+                    F.when(F.col("o_orderkey") % 70 == 0, "soon").otherwise(F.date_format("o_orderdate", month)).alias("b"))
+    return text.select("o_orderkey", *(P.to_timestamp(c, P.infer_format(text, c)).cast("string").alias(c) for c in ("a", "b")))
+
+
 def q_to_decimal(spark, sf):
     r = _m(spark, sf).text
     return r.select("id", P.to_decimal("salary_year_avg").cast("double").alias("salary_year_avg"),
@@ -761,6 +770,14 @@ def q_page_events(spark, sf):
     return O.page(e, ["ts", "event_id"], 50, 100).select("event_id", "user_id", "event_type")
 
 
+def q_page_tied(spark, sf):
+    """Two pages of rows that share five order values, by an index of the order; ties go by the other columns."""
+    e = _m(spark, sf).table("events").select("event_type", "user_id", "event_id")
+    index = O.OrderIndex.build(e, ["event_type"])
+    first = index.page(500, 700).withColumn("page", F.lit(1))
+    return first.unionByName(index.page(500, 1200).withColumn("page", F.lit(2)))
+
+
 def q_surrogate_key_events(spark, sf):
     e = _m(spark, sf).table("events").select("event_id", "user_id", "ts")
     return K.dense_key(e, ["user_id", "ts", "event_id"], "event_seq").select("event_id", "event_seq")

@@ -390,6 +390,44 @@ def to_timestamp(c: Column | str, fmt: str | Sequence[str] | None = None) -> Col
     return F.coalesce(*tried)
 
 
+# How the parts of a date and of a time of day are written. Digits stand for the
+# shape of a cell: "0" for one or two, "0000" for four of them, "a" for a word.
+_DATE_SHAPES = {"0000-0-0": "yyyy-M-d", "0000/0/0": "yyyy/M/d", "0000.0.0": "yyyy.M.d", "0 a 0000": "d MMM yyyy",
+                "0-a-0000": "d-MMM-yyyy", "a 0, 0000": "MMM d, yyyy", "a 0 0000": "MMM d yyyy"}
+_EITHER_SHAPES = {"0/0/0000": ("M/d/yyyy", "d/M/yyyy"), "0-0-0000": ("M-d-yyyy", "d-M-yyyy"), "0.0.0000": ("M.d.yyyy", "d.M.yyyy")}
+_TIME_SHAPES = {"": "", " 0:0": " H:m", " 0:0:0": " H:m:s", "T0:0:0": "'T'H:m:s", "T0:0": "'T'H:m", " 0:0 a": " h:m a", " 0:0:0 a": " h:m:s a"}
+
+
+def infer_format(df: DataFrame, column: str) -> str | None:
+    """The one format in which a text column writes its dates, or None where no known format fits any cell.
+
+    One pass: cells are counted by shape (digits and words replaced), so what leaves a task is a
+    row per shape, with the largest first and second number of a date such as 3/4/2024. The
+    shape of most cells wins. Where day and month could be either, cells that can be read in one
+    way only decide by their number; without any, or with as many on either side, the month comes first.
+    """
+    text = F.col(_name(column))
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
+        text, "[A-Za-z]+\\.?", "a"), "[0-9]{4}", "Y"), "[0-9]{1,2}", "0"), "Y", "0000")
+    shape = F.regexp_replace(shape, "^(0000[-/.]0[-/.]0|0[-/.]0[-/.]0000)a", "$1T")  # the T between date and time
+    number = [F.regexp_extract(text, r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]", g).try_cast("int") for g in (1, 2)]
+    known = {d + t: (f if isinstance(f, tuple) else (f, f), tf) for d, f in {**_DATE_SHAPES, **_EITHER_SHAPES}.items()
+             for t, tf in _TIME_SHAPES.items()}
+    votes = (df.where(F.col(_name(column)).isNotNull()).select(shape.alias("shape"), *(n.alias(f"n{i}") for i, n in enumerate(number)))
+             .where(F.col("shape").isin(list(known)))
+             .groupBy("shape").agg(F.count(F.lit(1)).alias("cells"), F.count_if((F.col("n0") > 12) & (F.col("n1") <= 12)).alias("days_first"),
+                                   F.count_if((F.col("n1") > 12) & (F.col("n0") <= 12)).alias("months_first")).collect())
+    if not votes:
+        return None
+    best = max(votes, key=lambda v: (v["cells"], v["shape"]))  # at most one row for each known shape
+    (month_first, day_first), time = known[best["shape"]]
+    # All shapes of one order of parts vote on it: with a time of day or without.
+    date = next(d for d in {**_DATE_SHAPES, **_EITHER_SHAPES} if best["shape"] in {d + t for t in _TIME_SHAPES})
+    alike = [v for v in votes if v["shape"] in {date + t for t in _TIME_SHAPES}]
+    days, months = (sum(v[k] for v in alike) for k in ("days_first", "months_first"))
+    return (day_first if days > months else month_first) + time
+
+
 def to_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     """Number or numeric text -> decimal(p, s), rounding half away from zero; overflow -> NULL."""
     return _c(c).try_cast(T.DecimalType(precision, scale))

@@ -190,6 +190,7 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
     bad = {k: n for k, n in violation_counts(checked, counts).items() if n}
     counts.pop("staging", None)
     if bad:
+        TB.remove(spark, f"{TB.run_path(base, run_id)}/_work")
         return LoadReport(False, run_id, "constraint violations: " + ", ".join(sorted(bad)), violations=bad)
     TB.publish(spark, base, run_id, rebuilt_staging)
     TB.remove(spark, f"{TB.run_path(base, run_id)}/_work")
@@ -197,9 +198,13 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
 
 
 def run_full(spark: SparkSession, csv_path: str, base: str, on_violation: str = "fail",
-             multiline: bool = False, date_format: str | list[str] | None = None, report: bool = True,
-             **opts) -> LoadReport:
-    """L1. With ``report`` the quality metrics are written to the run folder before the gate decides."""
+             multiline: bool = False, date_format: str | list[str] | None = I.INFER, report: bool = True,
+             most_lost: int | None = None, **opts) -> LoadReport:
+    """L1. With ``report`` the quality metrics are written to the run folder before the gate decides.
+
+    The date column's one format is inferred, unless ``date_format`` names formats or None (ISO
+    only). A column of which coercion loses more than ``most_lost`` cells stops the load.
+    """
     run_id = TB.new_run_id()
     run = TB.run_path(base, run_id)
     with scratch_under(spark, f"{run}/_work"):
@@ -208,9 +213,14 @@ def run_full(spark: SparkSession, csv_path: str, base: str, on_violation: str =
     if report:
         quality = f"{run}/_quality"
         quality_report(raw, quality)
+    date_format = I.date_format_of(raw, date_format)
     lost = I.lost_cells(raw, date_format)
     ok, message = Q.gate(Q.find_failures(raw, Q.posting_rules()))
+    heavy = sorted(c for c, n in lost.items() if most_lost is not None and n > most_lost)
+    if ok and heavy:
+        ok, message = False, f"more than {most_lost} cells lost in " + ", ".join(heavy)
     if not ok:
+        TB.remove(spark, f"{run}/_work")
         return LoadReport(False, None, message, lost=lost, quality=quality)
     # A full run rebuilds staging from this file (ids from 1); readers see it when the run is published.
     TB.append_staging(I.stage(raw, date_format), base, batch=run_id, rebuild=True)
@@ -226,12 +236,14 @@ def run_transform_only(spark: SparkSession, base: str, on_violation: str = "fail
 
 
 def run_ingest_only(spark: SparkSession, csv_path: str, base: str, multiline: bool = False,
-                    date_format: str | list[str] | None = None) -> str:
+                    date_format: str | list[str] | None = I.INFER) -> str:
     batch = TB.new_run_id()
     with scratch_under(spark, f"{base.rstrip('/')}/_work/{batch}"):
         raw = read_postings_csv(spark, csv_path, base, multiline)
-    TB.append_staging(I.stage(raw, date_format), base, batch=batch)
-    TB.remove(spark, f"{base.rstrip('/')}/_work/{batch}")
+    try:
+        TB.append_staging(I.stage(raw, I.date_format_of(raw, date_format)), base, batch=batch)
+    finally:
+        TB.remove(spark, f"{base.rstrip('/')}/_work/{batch}")
     return batch
 
 

@@ -457,6 +457,13 @@ SELECT i.id, i.s_name, k.skill_id FROM {ITEMS} i JOIN skills k ON lower(trim(i.s
 SELECT CAST(count(*) AS BIGINT) AS bridge_rows_before_dedupe
 FROM jobs j JOIN stg_items i ON j.job_title = i.job_title AND j.job_posted_date = i.job_posted_date""")
     o["distinct_values"] = STG + "\nSELECT DISTINCT job_location, job_country FROM stg"
+    o["infer_timestamp"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d 00:00:00') END AS a,
+       CASE WHEN o_orderkey % 70 <> 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d 00:00:00') END AS b FROM orders"""
+    o["page_tied"] = """
+SELECT event_type, user_id, event_id, CASE WHEN place <= 1200 THEN 1 ELSE 2 END AS page
+FROM (SELECT event_type, user_id, event_id, row_number() OVER (ORDER BY event_type NULLS FIRST, user_id NULLS FIRST, event_id NULLS FIRST) AS place
+      FROM events) WHERE place > 700 AND place <= 1700"""
     o["distinct_jsonb"] = """SELECT DISTINCT '{"flag":["' || l_returnflag || '"],"n":' || CAST(l_linenumber AS VARCHAR) || '}' AS document
 FROM lineitem"""
     o["literal_cells"] = """

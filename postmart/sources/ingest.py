@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import (encode_json, mend_cells, normalize_list, null_tokens, read_json, read_list, to_decimal,
+from ..functions.parse import (encode_json, infer_format, mend_cells, normalize_list, null_tokens, read_json, read_list, to_decimal,
                                to_timestamp, tri_state_bool, unread_dict, unread_list)
 from ..operators.keys import dense_key
 from ..schemas import FLAG_COLUMNS, PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTURED, STAGING_SCHEMA
@@ -130,10 +130,22 @@ def mend_unread(parsed: DataFrame) -> DataFrame:
                       {c: m for c, m in held.items() if c == "job_type_skills"})
 
 
+#: As a date format: the one that the column itself shows.
+INFER = "infer"
+
+
+def date_format_of(raw: DataFrame, date_format: str | list[str] | None, column: str = "job_posted_date") -> str | list[str] | None:
+    """``date_format``, or with INFER the format of the column; None (ISO, cell by cell) where it shows no other."""
+    if date_format != INFER:
+        return date_format
+    found = infer_format(raw, column) if column in raw.columns else None
+    return None if found is None or found.startswith("yyyy-") else found
+
+
 def stage(raw: DataFrame, date_format: str | list[str] | None = None) -> DataFrame:
     """Raw (converted) postings -> staging schema.
 
-    Flags: 'true'/'false' in any case, else NULL. Date: ISO text (or ``date_format``) ->
+    Flags: 'true'/'false' in any case, else NULL. Date: ISO text (or ``date_format``; for INFER see ``date_format_of``) ->
     timestamp, bad -> NULL, counted by ``lost_cells``. Salaries -> decimal(10,2). Skill list kept as array; skill dict stored as
     JSON text. Columns missing from the input become NULL.
     """
