@@ -104,6 +104,8 @@ def pack_matrices(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
         shift = np.cumsum([0, *(len(x[5]) for x in block)])
         place = np.concatenate([x[4] + s for x, s in zip(block, shift)])
         ids = np.concatenate([x[5] for x in block])
+        if len(ids) and int(ids.max()) >= 1 << (8 * id_bytes):
+            raise ValueError(f"the vocabulary has ids that {id_bytes} bytes do not hold")
         sequence, offset, many = best_fit_decreasing(length, capacity)
         order = np.lexsort((offset, sequence))
         sequence, offset, length, place = sequence[order], offset[order], length[order], place[order]

@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are runs of letters and digits without case. Windows of ``seed`` words that a document
+Words are runs of letters and digits of any script without case. Windows of ``seed`` words that a document
 shares with an item are the seeds: a bitmap of fixed size, gathered from the items' windows,
 lets a document's other windows go before anything is shuffled; what passes is joined to the
 items' windows exactly. A (document, item) pair whose shared windows, each counted at all its places in
@@ -53,7 +53,7 @@ def _rows(batches, seed: int, bitmap: np.ndarray | None):
     for batch in batches:
         data, offsets = tv.strings(batch.column(1))
         for a, b in tv.slices(offsets):
-            words, at = tv.word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], tv.ALNUM, True)
+            words, at = tv.word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             hashes, _, first = tv.windows(words, at, seed)
             hit = np.ones(len(hashes), bool) if bitmap is None else _marked(bitmap, hashes)
             rows = np.flatnonzero(tv.sums(hit, first))

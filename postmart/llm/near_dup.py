@@ -1,23 +1,25 @@
 """Near-duplicate classes by ProbMinHash.
 
-A text is the set of its 5-word shingles (words are runs of letters and digits without case). A text
-of fewer words is one shingle. Signatures come from Poisson processes: every shingle sends arrivals
+A text is the weighted set of its 5-word shingles (words are runs of letters and digits of any
+script without case); a shingle said n times weighs 1 + log2(n) / 4, so that what a text says all
+over counts for more, but does not drown the rest. A text of fewer words is one shingle. Signatures come from Poisson processes: every shingle sends arrivals
 at a rate equal to its weight, each to one of 256 registers, until its next arrival is later than all
 registers hold; a register keeps the shingle that came first. Registers of two texts agree with the
-probability Jaccard similarity of the weighted sets. All weights are 1, however often a shingle is
-said, so that this is the Jaccard similarity that links are judged by.
+probability Jaccard similarity of the weighted sets, which is also what links are judged by, exactly:
+the sum over common shingles d of 1 / sum over all shingles e of max(x_e / x_d, y_e / y_d).
 
 1. Texts of equal words are one node; nodes only are compared.
 2. Bands of 8 registers deal the nodes into buckets. In each bucket all members are verified
-   against its most central node (the one in the fullest buckets), by exact similarity of the
-   shingles: a star, not all pairs.
+   against its most central node (the one in the fullest buckets), by their exact similarity:
+   a star, not all pairs.
 3. Verified links give components. Where the members that met one leader are still in different
    components, those members are compared with each other in blocks of BLOCK nodes: signatures
    first, then exactly, inside the task; only links are written. The signatures' cut lies four
    standard deviations below the threshold, so a link that banding finds is lost by that chance only.
 4. Components of all links are the classes.
 
-Two texts are linked when their shingle sets have a Jaccard similarity of at least ``threshold``.
+Two texts are linked when the probability Jaccard similarity of their weighted shingles is at least
+``threshold``. Where no shingle is said twice, that is the Jaccard similarity of the sets.
 
 Defined results: one row per row of documents with its class, named after the smallest doc_id in
 it (null where no member has one); texts without words are in one class only with equal texts,
@@ -46,7 +48,7 @@ SLACK = 0.1    # four standard deviations of an estimate from 256 registers at 0
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE):
     """(shingle hashes, first of each text, two 64-bit hashes of each text's words)."""
-    words, at = tv.word_hashes(data, offsets, tv.ALNUM, True)
+    words, at = tv.word_hashes(data, offsets)
     size = np.diff(at)
     hashes, _, first = tv.windows(words, at, k)
     # the whole word sequence, twice, from position-dependent sums
@@ -124,24 +126,43 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return tv.mix(part + tv.mix(np.arange(part.shape[1], dtype=np.uint64) + np.uint64(1)))
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted arrays of distinct shingles."""
-    if not len(a) or not len(b):
+Weighted = tuple[np.ndarray, np.ndarray]  # sorted distinct shingles and their weights
+
+
+def similarity(a: Weighted, b: Weighted) -> float:
+    """Probability Jaccard similarity of two weighted sets.
+
+    With the common shingles in the order of their weight ratio x / y, the larger of the two ratios
+    is x's for all that follow a shingle and y's for all before it, so running sums give every term.
+    """
+    (ha, x), (hb, y) = a, b
+    if not len(ha) or not len(hb):
         return 0.0
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    n = int((b[at] == a).sum())
-    return n / (len(a) + len(b) - n)
+    at = np.searchsorted(hb, ha)
+    at[at == len(hb)] = 0
+    common = hb[at] == ha
+    cx, cy = x[common], y[at[common]]
+    order = np.argsort(cx / cy)
+    cx, cy = cx[order], cy[order]
+    only_x, only_y = x.sum() - cx.sum(), y.sum() - cy.sum()
+    following = np.cumsum(cx[::-1])[::-1] + only_x
+    earlier = np.cumsum(cy) - cy + only_y
+    return float((1 / (following / cx + earlier / cy)).sum())
+
+
+def similar(a: Weighted, b: Weighted, threshold: float) -> bool:
+    """Whether the similarity reaches the threshold, the last bits of the sums aside."""
+    return similarity(a, b) >= threshold - 1e-9
 
 
 def _texts(batch_column):
-    """Distinct shingles of each text of a column, one text after the other."""
+    """The weighted shingles of each text of a column, one text after the other."""
     data, offsets = tv.strings(batch_column)
     for a, b in tv.slices(offsets):
         hashes, first, _, _ = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        h, _, first = weighted(hashes, first)
+        h, weight, first = weighted(hashes, first)
         for i in range(b - a):
-            yield h[first[i]:first[i + 1]]
+            yield h[first[i]:first[i + 1]], weight[first[i]:first[i + 1]]
 
 
 def _rows(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -159,8 +180,7 @@ def sign(docs: DataFrame, keep: list[str], with_text: bool) -> DataFrame:
             for a, b in tv.slices(offsets):
                 hashes, first, x, y = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 full = np.flatnonzero(np.diff(first))
-                h, _, own = weighted(hashes, np.append(first[:-1][full], first[-1]))
-                signature = prob_min_hash(h, np.ones(len(h)), own)
+                signature = prob_min_hash(*weighted(hashes, np.append(first[:-1][full], first[-1])))
                 of: list[bytes | None] = [None] * (b - a)
                 for i, s in zip(full.tolist(), signature):
                     of[i] = s.tobytes()
@@ -228,7 +248,7 @@ def verify(pairs: DataFrame, sizes: DataFrame, hot: DataFrame, texts: DataFrame,
             for (leader, part, node, kind), own in zip(ids, _texts(batch.column(4))):
                 if kind == 0:
                     group, head = (leader, part), own
-                elif (leader, part) == group and similarity(head, own) >= threshold:
+                elif (leader, part) == group and similar(head, own, threshold):
                     found.append((leader, node))
             columns = list(zip(*found)) or [[], []]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
@@ -257,7 +277,7 @@ def _cross_links(threshold: float):
             for k in np.flatnonzero(near >= least).tolist():
                 two = right[k]
                 x, y = find(one[1]), find(two[1])
-                if x != y and similarity(one[4], two[4]) >= threshold:
+                if x != y and similar(one[4], two[4], threshold):
                     root[x] = y
                     yield one[0], two[0]
 

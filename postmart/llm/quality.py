@@ -64,7 +64,7 @@ def _repeated(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse rows of a slice of texts: (place, weight, first entry of each text)."""
     docs = len(offsets) - 1
-    words, at = tv.word_hashes(data, offsets, tv.ALNUM, True)
+    words, at = tv.word_hashes(data, offsets)
     size = np.diff(at)
     n, chars = np.maximum(size, 1), np.maximum(np.diff(offsets), 1)
     lines, line_ends, first_line = tv.runs(data != 0x0A, offsets)
@@ -185,7 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Mod
                     names=["doc_id", "label", "place", "weight"])
     # `known` has at most most_rows rows of twelve bytes
     rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+            .join(F.broadcast(known), "doc_id")
+            # of several rows with one id always the same: the one whose text has the smallest digest
+            .groupBy("doc_id", "label").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("doc_id", "text", "label")
             .mapInArrow(run, "doc_id long, label int, place binary, weight binary").toArrow())
     rows = rows.take(np.argsort(rows["doc_id"].to_numpy(), kind="stable"))
     place = [np.frombuffer(x, np.int32) for x in rows["place"].to_pylist()]

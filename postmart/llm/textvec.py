@@ -1,36 +1,27 @@
 """Word runs and rolling hashes of many texts at once, on the UTF-8 bytes of an Arrow array.
 
 Everything here runs inside a task, on slices of a bounded number of bytes, so memory does
-not depend on the size of a partition. Hashes are 64 bit; two different words or word
-windows share one with a probability of about 2**-64 per pair.
+not depend on the size of a partition. Hashes are 64 bit and chain a scrambling step over
+eight bytes at a time (no polynomial, whose structure regular texts can meet); two different
+words or word windows share one with a probability of about 2**-64 per pair.
 """
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
 SLICE_BYTES = 1 << 19
-_rng = np.random.RandomState(20240229)
-_TABLE = (_rng.randint(0, 1 << 32, 256, dtype=np.uint64) << U64(32)) | _rng.randint(0, 1 << 32, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = U64(0xD1342543DE82EF95)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept and grown by doubling."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        have = np.full(size, base, dtype=U64)
-        have[0] = 1
-        have = np.multiply.accumulate(have, dtype=U64)
-        _powers[base] = have
-    return have[:n]
+_LENGTH = U64(0x9E3779B97F4A7C15)
+#: Longer spans are hashed one by one by a library function.
+LONG_SPAN = 1024
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)  # masks of the first n bytes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -73,9 +64,9 @@ def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     return table
 
 
-#: Words of [^\x20\x09-\x0D]+ (no white space) and of letters, digits and all non-ASCII characters.
+#: Words of [^\x20\x09-\x0D]+ (no white space); ASCII letters and digits.
 SOLID = ~byte_class((0x09, 0x0D), (0x20, 0x20))
-ALNUM = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
+ALNUM = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -104,19 +95,50 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for every span, from prefix sums of a polynomial modulo 2**64."""
+    """Hash of data[start:end] for every span."""
+    size = ends - starts
+    h = mix(size.astype(U64) * _LENGTH + _STEP)
     if not len(starts):
-        return np.zeros(0, U64)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(_TABLE[data] * _power(_BASE, len(data)), out=total[1:], dtype=U64)
-    h = (total[ends] - total[starts]) * _power(_INVERSE, len(data) + 1)[starts]
-    return mix(h + (ends - starts).astype(U64))
-
-
-def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of each text in order, and the first word of each text (n + 1 entries)."""
-    starts, ends, at = runs(table[data], offsets)
-    return span_hashes(LOWER[data] if lower else data, starts, ends), at
+        return h
+    at = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    active, done = np.flatnonzero((size > 0) & (size <= LONG_SPAN)), 0
+    while len(active):
+        left = size[active] - done
+        h[active] = mix(h[active] * _STEP + (at[starts[active] + done] & _KEEP[np.minimum(left, 8)]))
+        done += 8
+        active = active[left > 8]
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        h[i] = U64(int.from_bytes(hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little"))
+    return h
+
+
+_letters: list[np.ndarray] = []
+
+
+def _letter_table() -> np.ndarray:
+    """Which code points belong to words: letters, digits and the marks that combine with them."""
+    if not _letters:
+        _letters.append(np.fromiter((unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)), bool, 0x110000))
+    return _letters[0]
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of each text in order, and the first word of each text (n + 1 entries).
+
+    Words are runs of letters, digits and combining marks of any script, compared without case.
+    """
+    if (data < 0x80).all():
+        folded, solid = LOWER[data], ALNUM[data]
+    else:
+        raw = data.tobytes()
+        texts = [raw[a:b].decode("utf-8").casefold().encode("utf-8") for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+        offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        folded = np.frombuffer(b"".join(texts), np.uint8)
+        points = np.frombuffer(folded.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+        lead = np.flatnonzero((folded & 0xC0) != 0x80)
+        solid = np.repeat(_letter_table()[points], np.diff(np.append(lead, len(folded))))
+    starts, ends, at = runs(solid, offsets)
+    return span_hashes(folded, starts, ends), at
 
 
 def windows(words: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
