@@ -722,6 +722,38 @@ def q_scd_dimension(spark, sf):
                       F.col("valid_to").cast("string").alias("valid_to"), "is_current", "change")
 
 
+def _order_observations(orders: DataFrame) -> DataFrame:
+    """What each order tells about its customer, at the order's date."""
+    return orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("status"),
+                         F.substring("o_orderpriority", 1, 1).alias("priority"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"),
+                         F.col("o_orderkey").alias("arrival"))
+
+
+def q_scd_history(spark, sf):
+    """Versions of every customer over all order dates, one pass over all orders."""
+    h = SCD.history(_order_observations(_m(spark, sf).table("orders")), ["c_custkey"], ["status", "priority"], "at", "arrival")
+    return h.select("c_custkey", "status", "priority", _ts("valid_from"), _ts("valid_to"), "is_current")
+
+
+def q_fact_as_of(spark, sf):
+    """Every line item with its customer's version valid at the ship date."""
+    m = _m(spark, sf)
+    orders = m.table("orders")
+    versions = SCD.history(_order_observations(orders), ["c_custkey"], ["status", "priority"], "at", "arrival")
+    lines = m.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", "o_custkey", F.date_sub(F.col("l_shipdate").cast("date"), 60).alias("at"))
+    out = SCD.as_of(lines, versions, {"o_custkey": "c_custkey"}, "at", ["status", "priority", "valid_from"])
+    return out.select("l_orderkey", "l_linenumber", "o_custkey", "status", "priority", _ts("valid_from"))
+
+
+def q_carry_keys(spark, sf):
+    """Companies of the later postings, after a first load of the earlier ones: known members keep their keys."""
+    s = _m(spark, sf).staging
+    cutoff = F.lit(EARLY_CUTOFF).cast("timestamp_ntz")
+    known = D.dim_companies(s.where(F.col("job_posted_date") < cutoff))
+    return K.carry_keys(D.dim_companies(s.where(F.col("job_posted_date") >= cutoff)), known, ["company_name"], "company_id")
+
+
 def q_skills_by_category(spark, sf):
     m = _m(spark, sf)
     return H.skills_by_category(m.bridge, m.skills, m.categories)

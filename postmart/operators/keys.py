@@ -149,3 +149,27 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, natural_key: Sequence[
     start = max_key(existing, key) + 1
     keyed = dense_key(fresh, order_cols or cols, key, start=start)
     return existing.unionByName(keyed.select(key, *cols))
+
+
+def carry_keys(built: DataFrame, known: DataFrame | None, natural_key: Sequence[str], key: str) -> DataFrame:
+    """A rebuilt dimension with the keys its members had before; new members get the next ones.
+
+    ``built`` has one row per natural key and a key of its own (its order is the order of the new
+    keys); ``known`` holds every (natural key, key) given so far, members that are gone included,
+    so that no key ever names two members. NULL parts of a natural key are equal here. Both are
+    hashed on the natural key once; only new members are sorted.
+    """
+    if known is None:
+        return built
+    natural_key = list(natural_key)
+    others = [c for c in built.columns if c not in (*natural_key, key)]
+    k = known.select(*[F.col(c).alias(f"_k_{c}") for c in natural_key], F.col(key).alias("_known"))
+    same = F.lit(True)
+    for c in natural_key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    path = fresh_dir(built.sparkSession, "carried")
+    built.join(k, same, "left").select(*natural_key, *others, F.col(key).alias("_built"), "_known").write.parquet(path)
+    placed = built.sparkSession.read.parquet(path)
+    old = placed.where("_known IS NOT NULL").select(F.col("_known").alias(key), *natural_key, *others)
+    new = dense_key(placed.where("_known IS NULL").drop("_known"), ["_built"], key, start=max_key(known, key) + 1)
+    return old.unionByName(new.drop("_built")).select(*built.columns)

@@ -73,13 +73,46 @@ def quality_report(raw: DataFrame, path: str) -> None:
         list(pool.map(lambda m: m[1]().write.mode("overwrite").parquet(f"{path}/{m[0]}"), metrics.items()))
 
 
-def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "title_date",
-              unknown_member: bool = False, parallel: int = 4) -> dict[str, DataFrame]:
-    """All eight target tables from staging, in dependency order.
+#: Dimension -> (natural key, surrogate key).
+DIMENSION_KEYS = {"companies": (["company_name"], "company_id"), "platforms": (["platform_name"], "platform_id"),
+                  "locations": (["main_city", "main_state_province", "country", "full_location"], "location_id"),
+                  "schedule_types": (["schedule_type_name"], "schedule_type_id"),
+                  "skill_categories": (["category_name"], "category_id"), "skills": (["skill_name"], "skill_id")}
+
+
+def known_keys(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Every (natural key, key) that published loads have given, by dimension; empty before the first."""
+    run = TB.current_run(spark, base)
+    if run is None:
+        return {}
+    known = {}
+    for name, (natural, key) in DIMENSION_KEYS.items():
+        path = TB.run_path(base, run, f"_keys/{name}")
+        known[name] = (spark.read.parquet(path) if TB.exists(spark, path) else TB.read_table(spark, base, name, run)).select(*natural, key)
+    return known
+
+
+def write_keys(tables: dict[str, DataFrame], known: dict[str, DataFrame], base: str, run_id: str) -> None:
+    """Keep the keys of this run and of all before it beside the run, for the loads to come."""
+    for name, (natural, key) in DIMENSION_KEYS.items():
+        own = tables[name].select(*natural, key)
+        every = known[name].unionByName(own).distinct() if name in known else own
+        every.write.mode("overwrite").parquet(TB.run_path(base, run_id, f"_keys/{name}"))
+
+
+def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "title_date", unknown_member: bool = False,
+              parallel: int = 4, known: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All eight target tables from staging, in dependency order; members in ``known`` have their keys from there.
 
     The independent dimensions are submitted from ``parallel`` driver threads, so their
     (small) jobs share the executors instead of queueing one after another.
     """
+    known = known or {}
+
+    def carried(name: str, dim: DataFrame) -> DataFrame:
+        natural, key = DIMENSION_KEYS[name]
+        return K.carry_keys(dim, known.get(name), natural, key)
+
     builders = {
         "companies": lambda: D.dim_companies(staging),
         "locations": lambda: D.dim_locations(staging, unique=unique),
@@ -89,14 +122,14 @@ def build_3nf(staging: DataFrame, unique: str = "lookup_key", match: str = "titl
     }
     if parallel and parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            futures = {name: pool.submit(fn) for name, fn in builders.items()}
+            futures = {name: pool.submit(lambda n=name, fn=fn: carried(n, fn())) for name, fn in builders.items()}
             dims = {name: f.result() for name, f in futures.items()}
     else:
-        dims = {name: fn() for name, fn in builders.items()}
+        dims = {name: carried(name, fn()) for name, fn in builders.items()}
     companies, categories = dims["companies"], dims["skill_categories"]
-    skills = D.dim_skills(staging, categories)
+    skills = carried("skills", D.dim_skills(staging, categories))
     if unknown_member:
-        companies = FX.with_unknown_company(companies)
+        companies = carried("companies", FX.with_unknown_company(companies))
     # The bridge needs the numbered postings only, so the lookups run once, where the fact is written.
     numbered = FX.postings(staging) if FX.one_member_per_key(dims["locations"]) else None
     jobs = FX.fact_jobs(staging, companies, dims["locations"], dims["platforms"], dims["schedule_types"],
@@ -165,14 +198,17 @@ def quarantine(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict
 
 
 def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, run_id: str,
-                           on_violation: str, rebuilt_staging: bool = False, **opts) -> LoadReport:
+                           on_violation: str, rebuilt_staging: bool = False, stable_keys: bool = False,
+                           **opts) -> LoadReport:
     """Build, (optionally quarantine), write once into the run folder, check, then publish.
 
     Intermediate tables of the build (surrogate-key tags) go under the run's ``_work``
-    folder, which goes once the run is published.
+    folder, which goes once the run is published. With ``stable_keys`` the members of earlier
+    runs keep their surrogate keys (a chain of such runs never gives a key twice).
     """
+    known = known_keys(spark, base) if stable_keys else {}
     with scratch_under(spark, f"{TB.run_path(base, run_id)}/_work"):
-        tables = build_3nf(staging, **opts)
+        tables = build_3nf(staging, known=known, **opts)
         viol = {}
         if on_violation == "quarantine":
             for name, df in tables.items():     # the keys of a build are written; fix the rows too before they are split
@@ -183,6 +219,8 @@ def _transform_and_publish(spark: SparkSession, staging: DataFrame, base: str, r
             viol = {f"quarantined:{name}": n for name, n in ((k, d.count()) for k, d in dropped.items()) if n}
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         TB.write_tables(tables, base, run_id, run_ts)
+        if stable_keys:
+            write_keys({n: TB.read_table(spark, base, n, run_id) for n in DIMENSION_KEYS}, known, base, run_id)
     written = {name: TB.read_table(spark, base, name, run_id) for name in tables}
     counts: dict[str, int] = {}
     # Staging is held to its own limits, except where a quarantine has dropped what broke them.

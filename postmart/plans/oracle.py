@@ -464,6 +464,28 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN strftime(CAST(o_orderdate
 SELECT event_type, user_id, event_id, CASE WHEN place <= 1200 THEN 1 ELSE 2 END AS page
 FROM (SELECT event_type, user_id, event_id, row_number() OVER (ORDER BY event_type NULLS FIRST, user_id NULLS FIRST, event_id NULLS FIRST) AS place
       FROM events) WHERE place > 700 AND place <= 1700"""
+    versions = """
+WITH seen AS (SELECT o_custkey AS c_custkey, CAST(o_orderdate AS TIMESTAMP) AS seen_at, arg_max(o_orderstatus, o_orderkey) AS status,
+                     arg_max(substr(o_orderpriority, 1, 1), o_orderkey) AS priority FROM orders GROUP BY ALL),
+marked AS (SELECT *, lag(status) OVER w IS DISTINCT FROM status OR lag(priority) OVER w IS DISTINCT FROM priority
+                     OR row_number() OVER w = 1 AS starts FROM seen WINDOW w AS (PARTITION BY c_custkey ORDER BY seen_at)),
+versions AS (SELECT c_custkey, status, priority, seen_at AS valid_from, lead(seen_at) OVER (PARTITION BY c_custkey ORDER BY seen_at) AS valid_to
+             FROM marked WHERE starts)"""
+    o["scd_history"] = versions + """
+SELECT c_custkey, status, priority, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from,
+       strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to, valid_to IS NULL AS is_current FROM versions"""
+    o["fact_as_of"] = versions + """,
+lines AS (SELECT l_orderkey, l_linenumber, o_custkey, CAST(CAST(l_shipdate AS DATE) - 60 AS TIMESTAMP) AS ship_at
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT l_orderkey, l_linenumber, o_custkey, status, priority, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from
+FROM lines ASOF LEFT JOIN versions ON o_custkey = c_custkey AND lines.ship_at >= versions.valid_from"""
+    o["carry_keys"] = STG + """,
+names AS (SELECT trim(company_name) AS name, job_posted_date < TIMESTAMP '1995-01-01' AS early FROM stg
+          WHERE trim(company_name) <> '' AND job_posted_date IS NOT NULL),
+known AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM (SELECT DISTINCT name FROM names WHERE early)),
+late AS (SELECT DISTINCT name FROM names WHERE NOT early)
+SELECT coalesce(known.id, (SELECT count(*) FROM known) + row_number() OVER (PARTITION BY known.id IS NULL ORDER BY late.name)) AS company_id,
+       late.name AS company_name FROM late LEFT JOIN known USING (name)"""
     o["distinct_jsonb"] = """SELECT DISTINCT '{"flag":["' || l_returnflag || '"],"n":' || CAST(l_linenumber AS VARCHAR) || '}' AS document
 FROM lineitem"""
     o["literal_cells"] = """

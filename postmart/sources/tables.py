@@ -65,10 +65,10 @@ def _staging_files_schema() -> T.StructType:
 
 
 def staging_exists(spark: SparkSession, base: str) -> bool:
-    return _exists(spark, current_staging(spark, base))
+    return exists(spark, current_staging(spark, base))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a folder; any other error than its absence is raised."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found))
@@ -89,7 +89,7 @@ def remove(spark: SparkSession, path: str) -> None:
 def _pointer(spark: SparkSession, base: str, name: str = "_current") -> tuple[str, str, str] | None:
     """The latest line of a pointer table: (time in nanoseconds, run, run that rebuilt staging or '')."""
     path = f"{base.rstrip('/')}/{name}"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return None
     row = spark.read.text(path).agg(F.max("value").alias("v")).first()
     return tuple(row["v"].split("\t")) if row and row["v"] else None
