@@ -183,13 +183,27 @@ def missing_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, v): every cell as its column's number and its text; -0.0 is 0.0 and all NaN are one value, in text too."""
+    def value(c):
+        floating = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+        return (F.col(c) + 0.0 if floating else F.col(c)).cast("string")
+    return df.select(F.explode(F.array(*(F.struct(F.lit(i).alias("i"), value(c).alias("v")) for i, c in enumerate(cols)))).alias("c")).select("c.*")
+
+
 def unique_values(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """(column_name, unique_count): distinct non-NULL values per column.
 
+    Cells are narrow (column number, text) pairs, each value counted once per task before the
+    shuffle; a wide aggregate of distinct counts would copy whole rows once per column.
     ``exact=False`` uses HyperLogLog sketches (one small partial per task) for very large tables.
     """
-    f = F.count_distinct if exact else F.approx_count_distinct
-    one = df.agg(*[f(F.col(c)).alias(f"u{i}") for i, c in enumerate(cols)])
+    if exact:
+        counts = _cells(df, cols).where("v IS NOT NULL").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+        names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name")) for i, c in enumerate(cols)))
+        declared = df.sparkSession.range(1).select(F.explode(names).alias("d")).select("d.*")
+        return declared.join(counts, "i", "left").select("column_name", F.coalesce("n", F.lit(0)).cast("long").alias("unique_count"))
+    one = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"u{i}") for i, c in enumerate(cols)])
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"u{i}").cast("long").alias("unique_count"))
             for i, c in enumerate(cols)]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
@@ -213,11 +227,7 @@ def data_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
     names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name"),
                                F.lit(df.schema[c].dataType.simpleString()).alias("data_type"))
                       for i, c in enumerate(cols)))
-    # -0.0 equals 0.0 and all NaN are one value, in text too.
-    cells = F.array(*(F.struct(F.lit(i).alias("i"), (F.col(c) + 0.0 if isinstance(df.schema[c].dataType, T.FractionalType)
-                                                    and not isinstance(df.schema[c].dataType, T.DecimalType)
-                                                    else F.col(c)).cast("string").alias("v")) for i, c in enumerate(cols)))
-    long = df.select(F.explode(cells).alias("c")).select("c.i", "c.v")
+    long = _cells(df, cols)
     if exact:
         values = long.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
         counts = values.groupBy("i").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("nulls"),
@@ -257,6 +267,13 @@ def list_structure(df: DataFrame, raw_col: str, parse=read_list) -> DataFrame:
         F.coalesce(F.sum(F.size(F.filter("_p", lambda x: x.isNull()))), F.lit(0)).cast("long").alias("null_items"))
 
 
+def parsed_structure(parsed: DataFrame, present: str, value: str) -> DataFrame:
+    """The structure check of a column that is parsed already: ``present`` marks the cells that held text."""
+    valid = F.col(present) & F.col(value).isNotNull()
+    return parsed.agg(F.count_if(present).cast("long").alias("total_non_null"), F.count_if(valid).cast("long").alias("valid"),
+                      F.count_if(F.col(present) & F.col(value).isNull()).cast("long").alias("invalid"))
+
+
 def list_samples(df: DataFrame, raw_col: str, n: int, id_col: str = "id", parse=read_list) -> DataFrame:
     """The first ``n`` valid lists by id, for a reader: (id, items). The limit is the feature."""
     return (df.where(_present(raw_col, EMPTY_LIST_TOKENS)).select(id_col, parse(raw_col).alias("items"))

@@ -61,6 +61,7 @@ def read_postings_csv(spark: SparkSession, path: str, base: str | None = None, m
 
 def quality_report(raw: DataFrame, path: str) -> None:
     """Write the quality metrics of a load (V5-V8, V12 and the structure of the skill cells) under ``path``."""
+    marked, raw = raw, raw.drop(*I.PRESENT.values())
     plain = [c for c in raw.columns if c not in SEMI_STRUCTURED and c != "id"]
     metrics = {
         "row_count": lambda: Q.row_count(raw),
@@ -68,6 +69,7 @@ def quality_report(raw: DataFrame, path: str) -> None:
         "missing_values": lambda: Q.missing_values(raw, plain),
         "unique_values": lambda: Q.unique_values(raw, [c for c in KEY_COLUMNS if c in raw.columns]),
         "data_profile": lambda: Q.data_profile(raw, plain),
+        **{f"structure_{c}": (lambda c=c, m=m: Q.parsed_structure(marked, m, c)) for c, m in I.PRESENT.items() if m in marked.columns},
     }
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(lambda m: m[1]().write.mode("overwrite").parquet(f"{path}/{m[0]}"), metrics.items()))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.parse import (encode_json, infer_format, mend_cells, normalize_list, null_tokens, read_json, read_list, to_decimal,
                                to_timestamp, tri_state_bool, unread_dict, unread_list)
 from ..operators.keys import dense_key
-from ..schemas import FLAG_COLUMNS, PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTURED, STAGING_SCHEMA
+from ..schemas import EMPTY_DICT_TOKENS, EMPTY_LIST_TOKENS, FLAG_COLUMNS, PANDAS_NA_TOKENS, RAW_COLUMNS, SEMI_STRUCTURED, STAGING_SCHEMA
 from ..session import fresh_dir
 
 
@@ -107,17 +107,22 @@ def create_row_id(df: DataFrame, order_cols: list[str] | None = None, out: str =
 
 #: Raw text of the cells that only Python's own parser might read, beside the parsed columns.
 UNREAD = {"job_skills": "_unread_list", "job_type_skills": "_unread_dict"}
+#: Marks of the cells that held text other than an empty literal, for the structure check.
+PRESENT = {"job_skills": "_has_list", "job_type_skills": "_has_dict"}
 
 
 def parse_cells(df: DataFrame) -> DataFrame:
     """Converter step for text input: list literal cells -> array, dict literal cells -> JSON text.
 
-    All on the JVM; ``UNREAD`` columns keep the text of cells that need ``mend_unread``.
+    All on the JVM; ``UNREAD`` columns keep the text of cells that need ``mend_unread``, ``PRESENT``
+    columns tell an invalid cell from a missing one.
     """
     text = [c for c in UNREAD if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
     read = {"job_skills": read_list, "job_type_skills": read_json}
+    empty = {"job_skills": EMPTY_LIST_TOKENS, "job_type_skills": EMPTY_DICT_TOKENS}
     marks = {"job_skills": unread_list, "job_type_skills": lambda c: unread_dict(c, read_json(c))}
-    return df.select("*", *(F.when(marks[c](c), F.col(c)).alias(UNREAD[c]) for c in text)).withColumns(
+    has = [F.coalesce(~F.col(c).isin(list(empty[c])), F.lit(False)).alias(PRESENT[c]) for c in text]
+    return df.select("*", *has, *(F.when(marks[c](c), F.col(c)).alias(UNREAD[c]) for c in text)).withColumns(
         {c: read[c](c) for c in text})
 
 

@@ -260,3 +260,13 @@ def test_pointer_is_never_absent(spark, scratch):
 def test_errors_are_not_taken_for_an_empty_mart(spark):
     with pytest.raises(Exception):
         TB.staging_exists(spark, "nosuchscheme://x/y")
+
+
+def test_report_holds_the_structure_of_skill_cells(spark, scratch):
+    postings(spark, f"{scratch}/in", job_skills=["['a', 'b']", "junk"], job_type_skills=["{'k': ['a']}", "{'open': "])
+    rep = J.run_full(spark, f"{scratch}/in", f"{scratch}/mart")
+    assert rep.ok
+    for name, want in (("job_skills", (2, 1, 1)), ("job_type_skills", (2, 1, 1))):
+        assert tuple(spark.read.parquet(f"{rep.quality}/structure_{name}").first()) == want
+    profile = spark.read.parquet(f"{rep.quality}/data_profile")
+    assert not profile.where("column_name LIKE '\\\\_%'").count()
