@@ -142,9 +142,12 @@ def similarity(a: Weighted, b: Weighted) -> float:
     at[at == len(hb)] = 0
     common = hb[at] == ha
     cx, cy = x[common], y[at[common]]
+    shared = cx.sum()
+    if (cx == cy).all():  # one ratio: every term has the same sum below the line
+        return float(shared / (x.sum() + y.sum() - shared))
     order = np.argsort(cx / cy)
     cx, cy = cx[order], cy[order]
-    only_x, only_y = x.sum() - cx.sum(), y.sum() - cy.sum()
+    only_x, only_y = x.sum() - shared, y.sum() - cy.sum()
     following = np.cumsum(cx[::-1])[::-1] + only_x
     earlier = np.cumsum(cy) - cy + only_y
     return float((1 / (following / cx + earlier / cy)).sum())
