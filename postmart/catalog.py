@@ -358,6 +358,15 @@ def q_data_profile(spark, sf):
     return Q.data_profile(_m(spark, sf).raw, PROFILE_COLUMNS)
 
 
+def q_batch_profile(spark, sf):
+    """The profile of all orders from the kept profiles of their load batches, one for each order status."""
+    m = _m(spark, sf)
+    orders, path = m.table("orders"), fresh_dir(spark, "profiles")
+    for status in ("F", "O", "P"):
+        Q.profile_batch(orders.where(F.col("o_orderstatus") == status), ["o_orderstatus", "o_orderpriority", "o_orderdate"], path, status)
+    return Q.merged_profile(spark, path)
+
+
 # ---------------------------------------------------------------------------
 # dimensions and keys (D*)
 # ---------------------------------------------------------------------------

@@ -116,18 +116,25 @@ def declare_tables(spark: SparkSession, base: str, run_id: str, reset_staging: b
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(run_path(base, run_id, name))
 
 
+def _declared(name: str) -> T.StructType:
+    """The declared columns of a target, in order; a frame that does not have them with these types is refused.
+
+    That no NULL stands where none may is for the checks to say.
+    """
+    return T.StructType([T.StructField(f.name, f.dataType) for f in TARGET_SCHEMAS[name].fields])
+
+
 def write_tables(tables: dict[str, DataFrame], base: str, run_id: str,
                  run_ts: _dt.datetime | None = None) -> dict[str, str]:
-    """Write each target of a run (S7), parents first; returns name -> path.
+    """Write each target of a run (S7) as it is declared (S5), parents first; returns name -> path.
 
     With ``run_ts`` every row carries ``created_at`` = that one instant (C7).
     """
     paths = {}
     for name in reversed(REFRESH_ORDER):
         if name in tables:
-            cols = [f.name for f in TARGET_SCHEMAS[name].fields]
             path = run_path(base, run_id, name)
-            out = tables[name].select(*cols)
+            out = tables[name].to(_declared(name))
             if run_ts is not None:
                 out = stamp(out, run_ts)
             out.write.mode("overwrite").parquet(path)
