@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
 return the columns of documents. Stages are written as Parquet and reread, so a lost executor costs
 no more than its part of one stage.
+
+Defined results: a null text counts as an empty one in every stage; rows with a null doc_id go
+through all stages; of repeated rows the near-dedup keeps one; columns beside those of documents
+stay until packing, whose result has its own; an empty table passes all stages empty. The
+modules of the operators say what each does with very long texts and ties.
 """
 
 from __future__ import annotations
