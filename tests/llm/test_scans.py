@@ -278,3 +278,25 @@ def test_pipeline_on_planted_rows(spark, tmp_path, tokenizer):
     assert got.groupby("sequence_id")["length"].sum().max() <= 4096
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "near dedup", "decontamination", "secret scan",
                                                        "best-fit packing"]
+
+
+def test_pipeline_takes_nulls_repeated_rows_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+    rnd = random.Random(9)
+
+    def prose(n):
+        return " ".join(f"{rnd.choice('bcdfgl')}{rnd.choice('aeiou')}{rnd.choice('mnrst')}{rnd.choice('aeiou')}{k % 13}" for k in range(n))
+    good = [(k, prose(120)) for k in range(40)]
+    junk = [(100 + k, " ".join(f"{w}$$$" for w in prose(80).split())) for k in range(30)]
+    odd = [(None, prose(120)), (500, None), (501, ""), good[5], good[5], (502, prose(30_000))]
+    for part, rows in (("full", good + junk + odd), ("none", [])):
+        for name, data, schema in (("documents", [(i, t, None, None, None, "x") for i, t in rows],
+                                    "doc_id long, text string, lang string, source string, n_chars long, node string"),
+                                   ("labels", [(i, int(i < 100), None) for i, _ in good + junk], "doc_id long, quality int, toxic int"),
+                                   ("benchmark", [(None, None), (2, "")], "item_id long, text string")):
+            spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{part}/{name}.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/full").toPandas()
+    kept = set(got["doc_id"].dropna().astype(int))
+    assert {*range(40), 502} <= kept and not kept & {i for i, _ in junk} and got["doc_id"].isna().sum() == 1
+    assert (got["doc_id"] == 5).sum() == 1 and (got["doc_id"] == 502).sum() == got[got["doc_id"] == 502]["piece"].max() + 1
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
