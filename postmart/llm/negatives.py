@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from .common import cut
 
 SCALE = 256
-ANCHOR_BLOCK, CANDIDATE_BLOCK = 512, 4096
+#: Rows of a cell on either side: a candidate is shuffled once for every ANCHOR_BLOCK anchors.
+ANCHOR_BLOCK, CANDIDATE_BLOCK = 4096, 8192
 #: Scores at once in a task.
 CELL_PIECE = 1 << 20
 EXACT_BITS = 53
@@ -47,11 +48,13 @@ NEGATIVES = "anchor_id long, positive_id long, positive_score decimal(38,0), neg
 
 
 def clean(rows: DataFrame, label: Column | None = None, vector: str = "embedding") -> DataFrame:
-    """(vec_id, label, vector) of the rows that take part, one for each vec_id."""
+    """(vec_id, label, vector) of the rows that take part, one for each vec_id; vectors of floats stay floats."""
+    element = rows.schema[vector].dataType.elementType.simpleString()
+    kind = element if element in ("float", "double") else "double"
     fine = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))  # NaN is not below infinity
     return (rows.select(F.col("vec_id").cast("long").alias("vec_id"),
                         (F.col("label") if label is None else label).cast("long").alias("label"),
-                        F.col(vector).cast("array<double>").alias("vector"))
+                        F.col(vector).cast(f"array<{kind}>").alias("vector"))
             .where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL").where(fine)
             .groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("row"))
             .select("vec_id", "row.label", "row.vector"))
