@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postmart.catalog import Mart
 from postmart.operators import bridge as B
 from postmart.operators import facts as FX
+from postmart.sources import fixture as FIX
 from postmart.sources import ingest as I
 
 from sf_dirs import SF_SMALL
@@ -71,3 +72,13 @@ def test_job_ids_move_no_fact_columns(spark):
     fact = next(i for i, line in enumerate(plan.splitlines()) if line == scans[0])
     broadcast = next(i for i, line in enumerate(plan.splitlines()) if "BroadcastExchange" in line)
     assert fact < broadcast and not [i for i, line in enumerate(plan.splitlines()) if line in shuffles and i < fact]
+
+
+def test_raw_postings_are_dealt_once_by_ranges(spark):
+    """One shuffle of narrow rows: no hash shuffle of orders or items, no map-side lists, no sort of wide rows."""
+    lines = final_plan(FIX.postings_raw(spark, SF_SMALL)).splitlines()
+    shuffles = [line for line in lines if "Exchange" in line and "BroadcastExchange" not in line]
+    assert len(shuffles) == 1 and "rangepartitioning(id" in shuffles[0]
+    assert not any("ObjectHashAggregate" in line for line in lines)
+    sorts = [line for line in lines if "Sort [" in line]
+    assert len(sorts) == 1
