@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postmart.catalog import Mart
 from postmart.operators import bridge as B
 from postmart.operators import facts as FX
+from postmart.operators import keys as K
 from postmart.sources import fixture as FIX
 from postmart.sources import ingest as I
 
@@ -82,3 +83,14 @@ def test_raw_postings_are_dealt_once_by_ranges(spark):
     assert not any("ObjectHashAggregate" in line for line in lines)
     sorts = [line for line in lines if "Sort [" in line]
     assert len(sorts) == 1
+
+
+def test_files_of_several_stretches_are_numbered_in_place(spark, scratch, monkeypatch):
+    """A file may hold rows from before and after another file's, as a task that read two files writes it."""
+    ids = spark.range(0, 3000, numPartitions=1).select("id", F.col("id").cast("string").alias("wide"))
+    ids.repartition(2, F.expr("id div 1000") == 1).sortWithinPartitions("id").write.parquet(f"{scratch}/stretches")
+    moved = []
+    monkeypatch.setattr(K, "dense_key", lambda df, *a, _real=K.dense_key, **k: moved.append(df.columns) or _real(df, *a, **k))
+    got = K.number_written(spark.read.parquet(f"{scratch}/stretches"), "id", "n", start=1)
+    assert sorted((r.id, r.n) for r in got.collect()) == [(i, i + 1) for i in range(3000)]
+    assert not [c for c in moved if "wide" in c]
