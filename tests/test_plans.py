@@ -94,3 +94,11 @@ def test_files_of_several_stretches_are_numbered_in_place(spark, scratch, monkey
     got = K.number_written(spark.read.parquet(f"{scratch}/stretches"), "id", "n", start=1)
     assert sorted((r.id, r.n) for r in got.collect()) == [(i, i + 1) for i in range(3000)]
     assert not [c for c in moved if "wide" in c]
+
+
+def test_csv_is_written_without_building_or_moving_the_raw_table(spark):
+    m = Mart.get(spark, SF_SMALL, fresh=True)
+    got = I.create_row_id(m.scanned).select("id", "job_title", "company_name").orderBy("id").collect()
+    assert "raw" not in m.__dict__ and "text" not in m.__dict__
+    want = FIX.postings_raw(spark, SF_SMALL).orderBy("id").select("job_title").collect()
+    assert [r.id for r in got] == list(range(1, len(want) + 1)) and [r.job_title for r in got] == [r.job_title for r in want]
